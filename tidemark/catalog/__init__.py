@@ -2,5 +2,5 @@
 
 import importlib
 
-for _name in ("cleaning", "star"):
+for _name in ("cleaning", "star", "series", "models"):
     importlib.import_module(f"tidemark.catalog.{_name}")

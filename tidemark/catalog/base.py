@@ -25,28 +25,38 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nulls_normalized(landing_view(spark, sf_dir))
+_STAGED: dict = {}
 
 
-def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.validate(landing(spark, sf_dir))
+def staged(spark: SparkSession, sf_dir: str, name: str, build):
+    """What `build(folder)` returns, built once per session and input folder, as a warehouse holds it between queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        _STAGED[key] = build(scratch(spark, name))
+    return _STAGED[key]
 
 
-_STARS: dict = {}
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Star tables of the landing view, loaded once per session and folder as reports find them in a warehouse."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        root = f"{shared_dir(spark)}/star-{uuid.uuid4().hex}"
-        _STARS[key] = run_batch(spark, landing(spark, sf_dir), root, ["row_seq"])
-    return _STARS[key]
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows as they lie in the raw zone: the view over the order tables, written once, null tokens replaced."""
 
+    def build(root):
+        landing_view(spark, sf_dir).write.parquet(root)
+        return spark.read.parquet(root)
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return nulls_normalized(staged(spark, sf_dir, "landing", build))
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.validate(landing(spark, sf_dir))
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Star tables loaded from the landing rows."""
+    return staged(spark, sf_dir, "star", lambda root: run_batch(spark, landing(spark, sf_dir), root, ["row_seq"]))
 
 
 def rounded(df: DataFrame, digits=6) -> DataFrame:

@@ -26,6 +26,10 @@ def parse_timestamp(c: Column) -> Column:
     return F.try_to_timestamp(ordered, F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
 
 
+def date_valid(parsed: Column) -> Column:
+    return F.coalesce(F.year(parsed).between(fixed.MIN_YEAR, fixed.MAX_YEAR), F.lit(False))
+
+
 def date_error(raw: Column, parsed: Column) -> Column:
     year = F.year(parsed)
     return (

@@ -11,6 +11,10 @@ def to_double(c: Column) -> Column:
     return F.when(~F.trim(c).rlike("[dDfF]$"), c.try_cast("double"))
 
 
+def coordinates_valid(lat: Column, lon: Column) -> Column:
+    return F.coalesce(lat.between(*fixed.LATITUDE_RANGE) & lon.between(*fixed.LONGITUDE_RANGE), F.lit(False))
+
+
 def coordinate_error(lat_raw: Column, lon_raw: Column, lat: Column, lon: Column) -> Column:
     return (
         F.when(lat_raw.isNull() | lon_raw.isNull(), None)

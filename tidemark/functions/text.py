@@ -39,6 +39,11 @@ def msisdn_candidate(c: Column) -> Column:
     return F.regexp_replace(digits(c), rf"^(?!{prefix})(?:0|(?=\d{{8}}$))", prefix)
 
 
+def msisdn_valid(candidate: Column) -> Column:
+    digits_left = fixed.MSISDN_LENGTH - len(fixed.MSISDN_PREFIX)
+    return F.coalesce(candidate.rlike(rf"^{fixed.MSISDN_PREFIX}\d{{{digits_left}}}$"), F.lit(False))
+
+
 def msisdn_error(raw: Column, candidate: Column) -> Column:
     n = F.length(candidate)
     return (
@@ -49,6 +54,10 @@ def msisdn_error(raw: Column, candidate: Column) -> Column:
     )
 
 
+def kit_valid(code: Column) -> Column:
+    return F.coalesce(code.rlike(r"^(?!WITHOUT)(?s:.)"), F.lit(False))
+
+
 def kit_error(raw: Column, code: Column) -> Column:
     return (
         F.when(raw.isNull(), "KIT_CODE is null")

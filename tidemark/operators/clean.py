@@ -16,10 +16,6 @@ CLEAN_COLUMNS = [
 TITLE_COLUMNS = ["city", "governorate", "locality_name", "delegation_name"]
 
 
-def _labelled(label, error):
-    return F.when(error.isNotNull(), F.concat(F.lit(f"{label}: "), error))
-
-
 def validate(df: DataFrame, critical_match="documented") -> DataFrame:
     """Clean every landing column and judge the row.
 
@@ -36,32 +32,32 @@ def validate(df: DataFrame, critical_match="documented") -> DataFrame:
         "_offer": text.blank_to_null(F.col("offre")),
     })
     judged = parts.withColumns({
-        "_e_msisdn": text.msisdn_error(F.col("msisdn"), F.col("_msisdn")),
-        "_e_date": dates.date_error(F.col("creation_date"), F.col("_date")),
-        "_e_kit": text.kit_error(F.col("kit_code"), F.col("_kit")),
-        "_e_place": numbers.coordinate_error(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")),
+        "_ok_msisdn": text.msisdn_valid(F.col("_msisdn")),
+        "_ok_date": dates.date_valid(F.col("_date")),
+        "_ok_kit": text.kit_valid(F.col("_kit")),
+        "_placed": numbers.coordinates_valid(F.col("_lat"), F.col("_lon")),
     })
-    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("_e_place").isNull()
+    labelled = {
+        "MSISDN": text.msisdn_error(F.col("msisdn"), F.col("_msisdn")),
+        "CREATION_DATE": dates.date_error(F.col("creation_date"), F.col("_date")),
+        "KIT_CODE": text.kit_error(F.col("kit_code"), F.col("_kit")),
+        "COORDINATES": numbers.coordinate_error(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")),
+    }
     clean = {
-        "kit_code": F.when(F.col("_e_kit").isNull(), F.col("_kit")),
-        "msisdn": F.when(F.col("_e_msisdn").isNull(), F.col("_msisdn")),
+        "kit_code": F.when(F.col("_ok_kit"), F.col("_kit")),
+        "msisdn": F.when(F.col("_ok_msisdn"), F.col("_msisdn")),
         "dealer_id": F.upper(text.blank_to_null(F.col("dealer_id"))),
         "offre": F.col("_offer"),
         "debit": text.blank_to_null(F.col("debit")),
         **{c: text.title(text.blank_to_null(F.col(c))) for c in TITLE_COLUMNS},
         "postal_code": text.postal_code(F.col("postal_code")),
-        "latitude": F.when(placed, F.col("_lat")).cast("decimal(10,8)"),
-        "longitude": F.when(placed, F.col("_lon")).cast("decimal(11,8)"),
-        "creation_date": F.when(F.col("_e_date").isNull(), F.col("_date")),
-        "creation_day": F.when(F.col("_e_date").isNull(), F.col("_date").cast("date")),
+        "latitude": F.when(F.col("_placed"), F.col("_lat")).cast("decimal(10,8)"),
+        "longitude": F.when(F.col("_placed"), F.col("_lon")).cast("decimal(11,8)"),
+        "creation_date": F.when(F.col("_ok_date"), F.col("_date")),
+        "creation_day": F.when(F.col("_ok_date"), F.col("_date").cast("date")),
         "offer_category": text.offer_category(F.col("_offer")),
-        "errors": F.array_compact(F.array(
-            _labelled("MSISDN", F.col("_e_msisdn")),
-            _labelled("CREATION_DATE", F.col("_e_date")),
-            _labelled("KIT_CODE", F.col("_e_kit")),
-            _labelled("COORDINATES", F.col("_e_place")),
-        )),
-        "is_valid": F.col("_e_msisdn").isNull() & F.col("_e_date").isNull() & F.col("_e_kit").isNull(),
+        "errors": F.array_compact(F.array(*[F.concat(F.lit(f"{k}: "), e) for k, e in labelled.items()])),
+        "is_valid": F.col("_ok_msisdn") & F.col("_ok_date") & F.col("_ok_kit"),
     }
     result = judged.select(*others, *[clean[c].alias(c) for c in CLEAN_COLUMNS])
     if critical_match == "as_written":
