@@ -2,5 +2,5 @@
 
 import importlib
 
-for _name in ("cleaning", "star", "series", "models"):
+for _name in ("cleaning", "star", "series", "models", "files"):
     importlib.import_module(f"tidemark.catalog.{_name}")

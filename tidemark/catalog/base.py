@@ -1,5 +1,6 @@
 """Registry of named queries with their check SQL, and the SQL fragments that several checks share."""
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.operators import clean
 from tidemark.plans.batch import run_batch
-from tidemark.session import shared_dir
+from tidemark.session import prepare, shared_dir
 from tidemark.sources.bridge import landing_view
 from tidemark.sources.landing import nulls_normalized
 
@@ -18,7 +19,11 @@ CHECKS: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(prepare(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql:
             CHECKS[name] = sql
         return fn

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.operators import series as S
+from tidemark.session import spread
 
 PERIOD = 7
 ALPHAS = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -32,30 +33,16 @@ def _mean(values: Column, start: int, length: int) -> Column:
     return F.aggregate(F.slice(values, start, length), F.lit(0.0), lambda a, v: a + v) / length
 
 
-def _start(kind: str, ys: Column, period: int) -> Column:
-    zero, none = F.lit(0.0), F.array(F.lit(0.0))
-    if kind == "SES":
-        level, trend, season = ys[0], zero, none
-    elif kind == "Holt":
-        level, trend, season = ys[0], ys[1] - ys[0], none
-    else:
-        level = _mean(ys, 1, period)
-        trend = (_mean(ys, period + 1, period) - level) / period
-        season = F.transform(F.slice(ys, 1, period), lambda v: v - level)
-    return F.struct(level.alias("level"), trend.alias("trend"), season.alias("season"), zero.alias("sse"))
-
-
-def _fold(values: Column, start: Column, alpha: Column, beta: Column, gamma: Column) -> Column:
-    """State after all values. The season is a queue whose head belongs to the value at hand."""
+def _fold(values: Column, start: Column, alpha: Column, beta: Column, gamma: Column, period: int) -> Column:
+    """State after all values. Season fields s1.. form a queue whose head belongs to the value at hand."""
 
     def step(state, v):
-        level, trend, season = state["level"], state["trend"], state["season"]
-        head = season[0]
+        level, trend, head = state["level"], state["trend"], state["s1"]
         error = v - (level + trend + head)
-        turned = F.concat(F.slice(season, F.lit(2), F.size(season) - 1), F.array(head + gamma * (1 - alpha) * error))
+        moved = [state[f"s{i + 1}"].alias(f"s{i}") for i in range(1, period)]
         return F.struct(
             (level + trend + alpha * error).alias("level"), (trend + alpha * beta * error).alias("trend"),
-            turned.alias("season"), (state["sse"] + error * error).alias("sse"),
+            *moved, (head + gamma * (1 - alpha) * error).alias(f"s{period}"), (state["sse"] + error * error).alias("sse"),
         )
 
     return F.aggregate(values, start, step)
@@ -64,27 +51,38 @@ def _fold(values: Column, start: Column, alpha: Column, beta: Column, gamma: Col
 def fit(lists: DataFrame, by=S.KEY, kinds=("SES", "Holt", "Holt-Winters"), period=PERIOD, grids=None) -> DataFrame:
     """Per series and kind the parameters with the least in-sample squared error, and the state at the end.
 
-    `lists` comes from `series_lists`. Kinds that need more history than a series has give no row.
+    `lists` comes from `series_lists`. Kinds that need more history than a series has give no row. Series and
+    parameter rows are spread over all tasks: moving a list costs far less than folding it.
     """
     grids = grids or GRIDS
-    parts = []
-    ys = F.col("ys")
-    for kind in kinds:
-        skip, least = (period, 2 * period) if kind == "Holt-Winters" else (1, 2)
-        rows = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma")) for a, b, g in grids[kind]])
-        state = _fold(
-            F.slice(ys, F.lit(skip + 1), F.size(ys) - skip), _start(kind, ys, period),
-            F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"),
-        )
-        parts.append(
-            lists.filter(F.size(ys) >= least).select(*by, "ys", "last_date", F.explode(rows).alias("p"))
-            .select(*by, "last_date", F.size(ys).alias("n"), F.lit(kind).alias("kind"), "p", state.alias("state"))
-        )
-    fitted = parts[0]
-    for part in parts[1:]:
-        fitted = fitted.unionByName(part)
+    ys, kind = F.col("ys"), F.col("p.kind")
+    winters = kind == "Holt-Winters"
+    table = F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
+        for k in kinds for a, b, g in grids[k]
+    ])
+    rows = (
+        lists.select(*by, "ys", "last_date", _mean(ys, 1, period).alias("_m1"), _mean(ys, period + 1, period).alias("_m2"), F.explode(table).alias("p"))
+        .filter(F.size(ys) >= F.when(winters, 2 * period).otherwise(2))
+    )
+    zero = F.lit(0.0)
+    start = F.struct(
+        F.when(winters, F.col("_m1")).otherwise(ys[0]).alias("level"),
+        F.when(winters, (F.col("_m2") - F.col("_m1")) / period).when(kind == "Holt", ys[1] - ys[0]).otherwise(zero).alias("trend"),
+        *[F.when(winters, F.get(ys, F.lit(i)) - F.col("_m1")).otherwise(zero).alias(f"s{i + 1}") for i in range(period)],
+        zero.alias("sse"),
+    )
+    skip = F.when(winters, period).otherwise(1)
+    values = F.slice(ys, skip + 1, F.size(ys) - skip)
+    state = _fold(values, start, F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"), period)
+    folded = spread(rows, *by, "p").select(*by, "last_date", F.size(ys).alias("n"), "p", state.alias("state"))
     best = F.min_by(F.struct("p", "state", "n", "last_date"), F.struct("state.sse", "p.alpha", "p.beta", "p.gamma"))
-    return fitted.groupBy(*by, "kind").agg(best.alias("b")).select(*by, "kind", "b.p.*", "b.state.*", "b.n", "b.last_date")
+    chosen = folded.groupBy(*by, kind.alias("kind")).agg(best.alias("b"))
+    season = F.array(*[F.col(f"b.state.s{i + 1}") for i in range(period)])
+    return chosen.select(
+        *by, "kind", "b.p.alpha", "b.p.beta", "b.p.gamma", "b.state.level", "b.state.trend", season.alias("season"),
+        "b.state.sse", "b.n", "b.last_date",
+    )
 
 
 def predict(fitted: DataFrame, horizon=fixed.HORIZON, by=S.KEY) -> DataFrame:

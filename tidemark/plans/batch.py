@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks, clean, star
-from tidemark.session import settle
+from tidemark.session import prepare, settle
 from tidemark.sources.landing import append_raw
 from tidemark.sources.tables import Warehouse
 
@@ -19,11 +19,12 @@ def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id:
 
     The judged rows feed clean table, dimensions, fact and checks; they are written once and read back.
     """
+    prepare(spark)
     start = now or dt.datetime.now()
     store = Warehouse(spark, root)
     append_raw(rows, root, batch_id, start)
 
-    order = [F.col(c) for c in order]
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
     judged = settle(clean.validate(rows, critical_match))
     position = F.struct(*order)
     valid = settle(clean.dedup_first(judged.filter("is_valid"), "msisdn", order).withColumn("_order", position))

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark 4.1 may skip the shuffle after a union although adaptive execution has cut its sides differently, and then
+    # returns a group more than once.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -25,6 +28,12 @@ def get_session(app="tidemark", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Put the setting that results depend on into a session made elsewhere."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return spark
+
+
 def shared_dir(spark) -> str:
     """Folder all executors see: `spark.checkpoint.dir`. Local sessions without one get a fresh temp folder."""
     current = spark.sparkContext.getCheckpointDir()
@@ -50,3 +59,8 @@ def lookup(df: DataFrame, limit=BROADCAST_ROWS) -> DataFrame:
     if df.select(F.lit(1)).limit(limit + 1).count() <= limit:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Spread few but costly rows over all shuffle partitions; the fixed number keeps adaptive execution from joining them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -67,10 +67,13 @@ def result_documents(metrics: DataFrame, sizes: DataFrame | None = None) -> Data
     )
 
 
-def latest_results(spark: SparkSession, path: str) -> DataFrame:
-    """Newest result document per model, by file time and then by the document's own time."""
+def latest_results(spark: SparkSession, path: str, one_per_file=False) -> DataFrame:
+    """Newest result document per model, by file time and then by the document's own time.
+
+    Files hold a document per line, as `write_results` leaves them, or with `one_per_file` one indented document each.
+    """
     runs = (
-        spark.read.schema(RESULT_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
+        spark.read.schema(RESULT_SCHEMA).option("multiLine", one_per_file).option("recursiveFileLookup", True)
         .json(path, pathGlobFilter="*.json")
         .withColumn("_at", F.struct(F.col("_metadata.file_modification_time"), "timestamp"))
     )
