@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.operators import clean
 from tidemark.plans.batch import run_batch
-from tidemark.session import prepare, shared_dir
+from tidemark.session import prepare, shared_dir, spread
 from tidemark.sources.bridge import landing_view
 from tidemark.sources.landing import nulls_normalized
 
@@ -49,7 +49,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows as they lie in the raw zone: the view over the order tables, written once, null tokens replaced."""
 
     def build(root):
-        landing_view(spark, sf_dir).write.parquet(root)
+        spread(landing_view(spark, sf_dir), "row_seq").write.parquet(root)
         return spark.read.parquet(root)
 
     return nulls_normalized(staged(spark, sf_dir, "landing", build))

@@ -15,15 +15,15 @@ def parse_timestamp(c: Column) -> Column:
     Texts are brought to year-month-day and parsed once. With slashes a first number of 1 to 12 is the month: where
     that gives no date, reading it as the day gives none either.
     """
-    ordered = F.regexp_replace(strip(c), r"\s+", " ")
+    ordered = strip(c)
     for pattern, year_first in [
-        (r"^(\d{4})/(\d{1,2})/(\d{1,2}) ", "$1-$2-$3 "),
-        (r"^(\d{1,2})-(\d{1,2})-(\d{4}) ", "$3-$2-$1 "),
-        (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4}) ", "$3-$1-$2 "),
-        (r"^(\d{1,2})/(\d{1,2})/(\d{4}) ", "$3-$2-$1 "),
+        (r"^(\d{4})([/-])(\d{1,2})\2(\d{1,2})\s+", "$1-$3-$4 "),
+        (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4})\s+", "$3-$1-$2 "),
+        (r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})\s+", "$4-$3-$1 "),
     ]:
         ordered = F.regexp_replace(ordered, pattern, year_first)
-    return F.try_to_timestamp(ordered, F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
+    whole = F.regexp_extract(ordered, r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", 0)
+    return whole.try_cast("timestamp_ntz")
 
 
 def date_valid(parsed: Column) -> Column:

@@ -8,7 +8,7 @@ from tidemark import fixed
 
 def to_double(c: Column) -> Column:
     """Number or null; the type suffixes that the JVM takes are no numbers in a data file."""
-    return F.when(~F.trim(c).rlike("[dDfF]$"), c.try_cast("double"))
+    return F.when(~F.right(F.rtrim(c), F.lit(1)).isin("d", "D", "f", "F"), c.try_cast("double"))
 
 
 def coordinates_valid(lat: Column, lon: Column) -> Column:

@@ -27,10 +27,10 @@ def digits(c: Column) -> Column:
 
 
 def title(c: Column) -> Column:
-    """Capital after every non-letter. Texts of letters and blanks alone take the cheap built-in."""
-    pieces = F.regexp_extract_all(c, F.lit(r"([^\p{L}]+|\p{L}+)"), F.lit(1))
-    cased = F.transform(pieces, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.lower(F.substr(p, F.lit(2)))))
-    return F.when(c.rlike(r"[^\p{L} ]"), F.array_join(cased, "")).otherwise(F.initcap(c))
+    """Capital after everything that is no cased letter. A mark with a blank after such characters lets the built-in,
+    which only knows words between blanks, do it."""
+    marked = F.regexp_replace(c, r"([^\p{Lu}\p{Ll}\p{Lt} ])", "$1\x01 ")
+    return F.replace(F.initcap(marked), F.lit("\x01 "), F.lit(""))
 
 
 def msisdn_candidate(c: Column) -> Column:
