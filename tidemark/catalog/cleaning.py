@@ -133,3 +133,12 @@ def quality_gate(spark, sf):
 @query("gov_rows_from_landing", with_(TO_NORM, "SELECT governorate, count(*) AS n, count(DISTINCT city) AS cities FROM norm GROUP BY governorate"))
 def gov_rows_from_landing(spark, sf):
     return landing_view(spark, sf).groupBy("governorate").agg(F.count("*").alias("n"), F.count_distinct("city").alias("cities"))
+
+
+_HOT = ("Pro", "Standard", "Villa")
+
+
+@query("one_hot", with_(TO_CLEAN, "SELECT row_seq, " + ", ".join(f"CAST(offer_category = '{v}' AS INTEGER) AS offre_{v}" for v in _HOT) + " FROM clean"))
+def one_hot(spark, sf):
+    hot = text.one_hot(F.col("offer_category"), _HOT, "offre")
+    return judged(spark, sf).select("row_seq", *hot)

@@ -79,5 +79,5 @@ def offer_category(c: Column, rules=None) -> Column:
     return result.otherwise(fixed.OFFER_DEFAULT)
 
 
-def one_hot(c: Column, values) -> list[Column]:
-    return [F.when(c == v, 1).otherwise(0).alias(str(v)) for v in values]
+def one_hot(c: Column, values, prefix: str) -> list[Column]:
+    return [F.when(c == v, 1).otherwise(0).alias(f"{prefix}_{v}") for v in values]

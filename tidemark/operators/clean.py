@@ -72,7 +72,7 @@ def error_text(df: DataFrame) -> DataFrame:
 
 
 def valid_only(df: DataFrame) -> DataFrame:
-    return df.filter(F.coalesce("is_valid", F.lit(True)))
+    return df.filter(F.col("is_valid").isNull() | F.col("is_valid"))
 
 
 def invalid_only(df: DataFrame, order=()) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import dates
+from tidemark.functions.text import one_hot
 from tidemark.operators import series as S
 
 
@@ -80,8 +81,8 @@ def score_requests(requests: DataFrame, known: DataFrame, columns, govs, categor
 
     `known` has one row; columns of the model that nothing fills become 0.
     """
-    hot = {f"gov_{v}": F.when(F.col("governorate") == v, 1).otherwise(0) for v in govs}
-    hot.update({f"offre_{v}": F.when(F.col("offer") == v, 1).otherwise(0) for v in categories})
+    hot = dict(zip([f"gov_{v}" for v in govs], one_hot(F.col("governorate"), govs, "gov")))
+    hot.update(zip([f"offre_{v}" for v in categories], one_hot(F.col("offer"), categories, "offre")))
     calendar = dates.calendar_features(F.col("date"))
     last = known.first().asDict()
     values = {}

@@ -15,18 +15,15 @@ def with_residuals(pred: DataFrame) -> DataFrame:
 def anomalies(pred: DataFrame, share=fixed.ANOMALY_SHARE, by=S.KEY) -> DataFrame:
     """Robust score per series: distance of the residual from its median in units of the scaled median deviation.
 
-    Days above the (1 - share) quantile of their series' scores are flagged. All statistics are per series of days.
+    Days above the (1 - share) quantile of their series' scores are flagged. All statistics are windows over one series
+    of days, so one shuffle serves them all.
     """
-    keys = list(by)
-    rows = with_residuals(pred)
-    centre = rows.groupBy(*keys).agg(F.percentile("residual", 0.5).alias("_median"))
-    away = rows.join(centre, keys).withColumn("_away", F.abs(F.col("residual") - F.col("_median")))
-    spread = away.groupBy(*keys).agg(F.percentile("_away", 0.5).alias("_mad"))
-    unit = F.greatest(F.col("_mad") * 1.4826, F.lit(fixed.METRIC_FLOOR))
-    scored = away.join(spread, keys).withColumn("anomaly_score", F.round(F.col("_away") / unit, 9))
-    limit = scored.groupBy(*keys).agg(F.percentile("anomaly_score", 1 - share).alias("_limit"))
-    flagged = scored.join(limit, keys).withColumn("is_anomaly", F.col("anomaly_score") > F.round("_limit", 9))
-    return flagged.drop("_median", "_away", "_mad", "_limit")
+    w = Window.partitionBy(*by)
+    away = with_residuals(pred).withColumn("_away", F.abs(F.col("residual") - F.percentile("residual", 0.5).over(w)))
+    unit = F.greatest(F.percentile("_away", 0.5).over(w) * 1.4826, F.lit(fixed.METRIC_FLOOR))
+    scored = away.withColumn("anomaly_score", F.round(F.col("_away") / unit, 9))
+    limit = F.round(F.percentile("anomaly_score", 1 - share).over(w), 9)
+    return scored.withColumn("is_anomaly", F.col("anomaly_score") > limit).drop("_away")
 
 
 def anomaly_rate(flagged: DataFrame, by=S.KEY) -> DataFrame:
