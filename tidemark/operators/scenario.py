@@ -18,17 +18,12 @@ def scenario_model(series: DataFrame, periods=(7, 30), max_lag=7, by=S.KEY, y="n
         ).alias(f"pattern_{p}") for p in periods
     ]
     value = F.col(y).cast("double")
-    fitted = parts.groupBy(*by).agg(
+    auto = F.array(*[F.coalesce(c, F.lit(0.0)) for c in S.slice_correlations(max_lag)])
+    return S.add_shifted(parts, max_lag, by).groupBy(*by).agg(
         F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.max("n").alias("n"), F.max("date").alias("last_date"),
         F.max("slope").alias("slope"), F.min_by("trend", "idx").alias("base"),
-        F.avg("residual").alias("residual_mean"), F.stddev_pop("residual").alias("residual_std"), *phases,
+        F.avg("residual").alias("residual_mean"), F.stddev_pop("residual").alias("residual_std"), *phases, auto.alias("autocorr"),
     )
-    lags = S.slice_correlation(parts, max_lag, by).groupBy(*by).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("lag", F.coalesce("autocorrelation", F.lit(0.0)).alias("a")))), lambda s: s["a"]
-        ).alias("autocorr")
-    )
-    return fitted.join(lags, list(by))
 
 
 def scenarios(model: DataFrame, n_scenarios=10, horizon=fixed.SHORT_HORIZON, seed=42, noise=0.1, periods=(7, 30), by=S.KEY,

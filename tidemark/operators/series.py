@@ -124,13 +124,22 @@ def correlations(frame: DataFrame, columns=("est_weekend", "est_ferie", "mois"),
     return frame.groupBy(*by).agg(*[F.corr(y, c).alias(f"corr_{c}") for c in columns])
 
 
-def slice_correlation(series: DataFrame, max_lag=7, by=KEY, value="residual") -> DataFrame:
-    """Pearson correlation of a series with itself shifted, each slice with its own mean: (.., lag, autocorrelation)."""
+def add_shifted(series: DataFrame, max_lag=7, by=KEY, value="residual") -> DataFrame:
+    """Columns _l1.. with the value that many rows before."""
     w = Window.partitionBy(*by).orderBy("date")
-    shifted = series.withColumns({f"_l{k}": F.lag(value, k).over(w) for k in range(1, max_lag + 1)})
-    wide = shifted.groupBy(*by).agg(*[F.corr(value, f"_l{k}").alias(str(k)) for k in range(1, max_lag + 1)])
-    return wide.select(*by, F.posexplode(F.array(*[f"`{k}`" for k in range(1, max_lag + 1)])).alias("lag", "autocorrelation")) \
-        .withColumn("lag", F.col("lag") + 1)
+    return series.withColumns({f"_l{k}": F.lag(value, k).over(w) for k in range(1, max_lag + 1)})
+
+
+def slice_correlations(max_lag=7, value="residual") -> list:
+    """Aggregates over `add_shifted` rows: Pearson correlation per lag, each slice with its own mean."""
+    return [F.corr(value, f"_l{k}") for k in range(1, max_lag + 1)]
+
+
+def slice_correlation(series: DataFrame, max_lag=7, by=KEY, value="residual") -> DataFrame:
+    """Correlation of a series with itself shifted: (.., lag, autocorrelation)."""
+    wide = add_shifted(series, max_lag, by, value).groupBy(*by).agg(F.array(*slice_correlations(max_lag, value)).alias("_a"))
+    rows = wide.select(*by, F.posexplode("_a").alias("_pos", "autocorrelation"))
+    return rows.select(*by, (F.col("_pos") + 1).alias("lag"), "autocorrelation")
 
 
 def acf(series: DataFrame, max_lag=40, by=KEY, y="nb_abonnements") -> DataFrame:
@@ -199,12 +208,10 @@ def decompose(series: DataFrame, periods=(7, 30), by=KEY, y="nb_abonnements", sc
 
 def fit_summary(parts: DataFrame, periods=(7, 30), max_lag=7, by=KEY) -> DataFrame:
     """Per series: trend slope, whether there is a trend, periods in use, residual mean and deviation, autocorrelations."""
-    stats = parts.groupBy(*by).agg(
+    auto = [c.alias(f"autocorr_{k + 1}") for k, c in enumerate(slice_correlations(max_lag))]
+    return add_shifted(parts, max_lag, by).groupBy(*by).agg(
         F.max("slope").alias("slope"),
         (F.abs(F.max_by("trend", "idx") - F.min_by("trend", "idx")) > 0.1).alias("has_trend"),
         *[F.max(F.col("n") >= 2 * p).alias(f"uses_{p}") for p in periods],
-        F.avg("residual").alias("residual_mean"), F.stddev_pop("residual").alias("residual_std"),
+        F.avg("residual").alias("residual_mean"), F.stddev_pop("residual").alias("residual_std"), *auto,
     )
-    auto = slice_correlation(parts, max_lag, by)
-    wide = auto.groupBy(*by).agg(*[F.max(F.when(F.col("lag") == k, F.col("autocorrelation"))).alias(f"autocorr_{k}") for k in range(1, max_lag + 1)])
-    return stats.join(wide, by)

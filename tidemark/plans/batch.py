@@ -1,6 +1,7 @@
 """One batch from landing rows to star tables, checks and audit row."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,66 +18,74 @@ def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id:
               critical_match="documented") -> dict[str, DataFrame]:
     """Clean, upsert and report one batch. Running a batch again rewrites the same versions, so it changes nothing.
 
-    The judged rows feed clean table, dimensions, fact and checks; they are written once and read back.
+    The judged rows feed clean table, dimensions, fact and checks; they are written once and read back. Writes that do
+    not depend on each other are submitted side by side, so that small ones do not leave the cluster idle.
     """
     prepare(spark)
     start = now or dt.datetime.now()
     store = Warehouse(spark, root)
-    append_raw(rows, root, batch_id, start)
-
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    judged = settle(clean.validate(rows, critical_match))
     position = F.struct(*order)
-    valid = settle(clean.dedup_first(judged.filter("is_valid"), "msisdn", order).withColumn("_order", position))
-    invalid = clean.error_text(judged.filter("NOT is_valid")).withColumn("_order", position).select(
-        "msisdn", "kit_code", "is_valid", "validation_errors", "offer_category", "_order"
-    )
 
-    stored = store.read("clean_data", before=batch_id)
-    incoming = valid.withColumn("validation_errors", F.lit(None).cast("string")).select(*STORED_CLEAN)
-    if stored is None:
-        stored = incoming.limit(0)
-    cleaned = store.write("clean_data", star.upsert_clean(stored, incoming, invalid, ["_order"]), batch_id)
-
-    members = {
-        "offer": (star.offer_members(valid, "_order"), "offre_id", ["nom_offre"]),
-        "geo": (star.geo_members(valid, "_order"), "geo_id", star.GEO_KEY),
-        "dealer": (star.dealer_members(valid), "dealer_id_pk", ["dealer_id"]),
-    }
-    dims = {"time": store.read("dim_time") or store.write("dim_time", star.dim_time(spark))}
-    for name, (found, id_column, key) in members.items():
-        found = settle(found)
-        known = store.read(f"dim_{name}", before=batch_id)
-        if known is None:
-            table = star.assign_ids(found, id_column, key).withColumn("updated_at", F.lit(start))
-        else:
-            table = star.merge_dimension(known, found, id_column, key, start)
-        dims[name] = store.write(f"dim_{name}", table, batch_id)
-
-    loaded, unmapped = star.build_fact(valid, dims)
-    loaded = settle(loaded)
-    known = store.read("fact_abonnements", before=batch_id)
-    fact = loaded if known is None else star.upsert_fact(known.select(*loaded.columns), loaded)
-    fact = store.write(
-        "fact_abonnements", fact.withColumn("creation_month", F.trunc("creation_day", "month")), batch_id, "creation_month"
-    )
+    with ThreadPoolExecutor(5) as pool:
+        raw = pool.submit(append_raw, rows, root, batch_id, start)
+        judged = settle(clean.validate(rows, critical_match).withColumn("_order", position))
+        valid = settle(clean.dedup_first(judged.filter("is_valid"), "msisdn", ["_order"]))
+        cleaned = pool.submit(_write_clean, store, judged, valid, batch_id)
+        members = {
+            "offer": (star.offer_members(valid, "_order"), "offre_id", ["nom_offre"]),
+            "geo": (star.geo_members(valid, "_order"), "geo_id", star.GEO_KEY),
+            "dealer": (star.dealer_members(valid), "dealer_id_pk", ["dealer_id"]),
+        }
+        pending = {n: pool.submit(_write_dimension, store, n, *m, batch_id, start) for n, m in members.items()}
+        dims = {"time": store.read("dim_time") or store.write("dim_time", star.dim_time(spark))}
+        dims.update({n: p.result() for n, p in pending.items()})
+
+        loaded, unmapped = star.build_fact(valid, dims)
+        loaded = settle(loaded)
+        quality = checks.quality_gate(judged, loaded.agg(F.count("*").alias("loaded")))
+        counts = pool.submit(settle, quality.select(
+            F.col("total_read").alias("read"), F.col("total_read").alias("processed"), "loaded",
+            (F.col("total_read") - F.col("total_valid")).alias("rejected"),
+        ))
+        known = store.read("fact_abonnements", before=batch_id)
+        fact = loaded if known is None else star.upsert_fact(known.select(*loaded.columns), loaded)
+        fact = store.write(
+            "fact_abonnements", fact.withColumn("creation_month", F.trunc("creation_day", "month")), batch_id, "creation_month"
+        )
+        counts, cleaned = counts.result(), cleaned.result()
+        raw.result()
 
-    loaded_rows = loaded.agg(F.count("*").alias("loaded"))
-    quality = checks.quality_gate(judged, loaded_rows)
-    counts = settle(quality.select(
-        F.col("total_read").alias("read"), F.col("total_read").alias("processed"), "loaded",
-        (F.col("total_read") - F.col("total_valid")).alias("rejected"),
-    ))
     end = now or dt.datetime.now()
     audit = star.audit_row(spark, "subscription batch", "COMPLETED", start, end, counts)
     audit.write.mode("overwrite").parquet(f"{root}/etl_audit_log/batch={batch_id}")
     return {
         "clean_data": cleaned, **{f"dim_{n}": d for n, d in dims.items()}, "fact_abonnements": fact,
-        "unmapped": unmapped, "judged": judged, "quality": quality,
+        "unmapped": unmapped, "judged": judged.drop("_order"), "quality": quality,
         "integrity": checks.integrity(fact, dims["time"]), "audit": spark.read.parquet(f"{root}/etl_audit_log"),
     }
 
 
+def _write_clean(store: Warehouse, judged: DataFrame, valid: DataFrame, batch_id: int) -> DataFrame:
+    incoming = valid.withColumn("validation_errors", F.lit(None).cast("string")).select(*STORED_CLEAN)
+    invalid = clean.error_text(judged.filter("NOT is_valid")).select(
+        "msisdn", "kit_code", "is_valid", "validation_errors", "offer_category", "_order"
+    )
+    stored = store.read("clean_data", before=batch_id)
+    stored = incoming.limit(0) if stored is None else stored
+    return store.write("clean_data", star.upsert_clean(stored, incoming, invalid, ["_order"]), batch_id)
+
+
+def _write_dimension(store: Warehouse, name: str, members: DataFrame, id_column: str, key, batch_id: int, now) -> DataFrame:
+    members = settle(members)
+    known = store.read(f"dim_{name}", before=batch_id)
+    if known is None:
+        table = star.assign_ids(members, id_column, key).withColumn("updated_at", F.lit(now))
+    else:
+        table = star.merge_dimension(known, members, id_column, key, now)
+    return store.write(f"dim_{name}", table, batch_id)
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Temp views under the names that analysts query."""
     names = {

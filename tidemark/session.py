@@ -1,6 +1,7 @@
 """Session settings, shared scratch folder, and size-checked broadcast."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keeping a call site for every column expression doubles the time to build large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Spark 4.1 may skip the shuffle after a union although adaptive execution has cut its sides differently, and then
     # returns a group more than once.
     "spark.sql.unionOutputPartitioning": "false",
@@ -49,9 +52,13 @@ def shared_dir(spark) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a frame that several jobs read to the shared folder, so that no lost executor forces a recompute."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame that several jobs read as a table in the shared folder and read it back.
+
+    No lost executor forces a recompute, later jobs read only the columns they use, and their planner knows the size.
+    """
+    path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def lookup(df: DataFrame, limit=BROADCAST_ROWS) -> DataFrame:
