@@ -107,7 +107,7 @@ def test_holidays_as_written_swaps_day_and_month(spark):
 
 
 def test_whole_record(spark):
-    row = ("KIT001", "21698765432", "m18", "Pack Fibre", "50M", "el menzah", "tunis", "1001", "36.8500", "10.1900", "el menzah", "tunis", "01/15/2024 10:30:00")
+    row = ("KIT001", "21698765432", "m18", "Pack Home", "50M", "el menzah", "tunis", "1001", "36.8500", "10.1900", "el menzah", "tunis", "01/15/2024 10:30:00")
     df = spark.createDataFrame([row], ", ".join(f"{c} string" for c in fixed.LANDING_COLUMNS))
     r = clean.validate(df).first()
     assert (r["msisdn"], r["dealer_id"], r["city"], r["postal_code"], r["is_valid"], r["errors"]) == ("21698765432", "M18", "El Menzah", 1001, True, [])

@@ -45,10 +45,16 @@ def start_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str,
 
 
 def daily_counts(events: DataFrame, time_column="ts", delay="30 days", by=()) -> DataFrame:
-    """Events per day, updated as they come; rows later than the delay behind the newest day are dropped."""
-    seen = events.withColumn("_ts", F.col(time_column).cast("timestamp")).withWatermark("_ts", delay)
+    """Events per day, updated as they come; rows later than the delay behind the newest day are dropped.
+
+    Days are those of the wall clock: a zoneless time keeps its day whatever zone the session is in.
+    """
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    clock = F.from_utc_timestamp(F.col(time_column).cast("timestamp"), zone)
+    seen = events.withColumn("_ts", clock).withWatermark("_ts", delay)
     counted = seen.groupBy(F.window("_ts", "1 day"), *by).agg(F.count("*").alias("nb_abonnements"))
-    return counted.select(F.col("window.start").cast("date").alias("date"), *by, "nb_abonnements")
+    day = F.to_utc_timestamp(F.col("window.start"), zone).cast("date")
+    return counted.select(day.alias("date"), *by, "nb_abonnements")
 
 
 def start_daily_counts(events: DataFrame, root: str, checkpoint: str, trigger=None, time_column="ts", delay="30 days", by=()) -> StreamingQuery:
