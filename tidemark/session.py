@@ -1,7 +1,11 @@
 """Session settings, shared scratch folder, and size-checked broadcast."""
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +36,30 @@ def get_session(app="tidemark", **conf) -> SparkSession:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Put the setting that results depend on into a session made elsewhere."""
+    """Put the setting that results depend on into a session made elsewhere, and the package onto its executors."""
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that tasks can import it wherever the driver started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    handle, archive = tempfile.mkstemp(prefix="tidemark-", suffix=".zip")
+    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
+        for path in sorted(package.rglob("*.py")):
+            packed.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    atexit.register(os.remove, archive)  # executors fetch it from the driver when they start
+    _SHIPPED.add(app)
+
+
 def shared_dir(spark) -> str:
     """Folder all executors see: `spark.checkpoint.dir`. Local sessions without one get a fresh temp folder."""
     current = spark.sparkContext.getCheckpointDir()
