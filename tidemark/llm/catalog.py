@@ -1,12 +1,13 @@
 """Named queries of this subpackage with their check SQL where SQL can express them."""
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, quality, urls
-from tidemark.session import prepare
+from tidemark.llm import ans, minhash, packing, quality, urls
+from tidemark.session import prepare, shared_dir
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -29,6 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file, which every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_range_ans")
+def op1(spark, sf_dir):
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    ans.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary("word_bpe_49k.json"), end=2)
+    return ans.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op3_cost_packing")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end=1).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op2_circulant_minhash", r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
