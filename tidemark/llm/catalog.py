@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ans, minhash, packing, quality, urls
+from tidemark.llm import ans, minhash, packing, quality, spans, urls
 from tidemark.session import prepare, shared_dir
 
 QUERIES: dict = {}
@@ -77,6 +77,11 @@ def op4(spark, sf_dir):
     )
 
 
+@query("op6_sentence_spans")
+def op6(spark, sf_dir):
+    return spans.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: The rules of the contract, longest first wins.
 URL_RULES = ["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"]
 
