@@ -25,19 +25,28 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")
 
 
-def _grams(h: Column) -> Column:
-    """Hashes of all words and of all pairs of neighbouring words."""
-    pairs = F.when(F.size(h) > 1, F.transform(
-        F.sequence(F.lit(0), F.size(h) - 2), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1))
-    )).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(h, pairs)
+def _joined(x: Column, y: Column, n: Column) -> Column:
+    """Hashes of the first n values of both arrays side by side; none for n below 1."""
+    some = F.greatest(n, F.lit(0))
+    return F.zip_with(F.slice(x, F.lit(1), some), F.slice(y, F.lit(1), some), lambda a, b: F.xxhash64(a, b))
+
+
+def _from(x: Column, k: int, n: Column) -> Column:
+    """The array after its first k values, of which there are n at least 0."""
+    return F.slice(x, F.lit(k + 1), F.greatest(n, F.lit(0)))
+
+
+def _pairs(h: Column) -> Column:
+    """Hashes of all pairs of neighbouring words."""
+    n = F.size(h) - 1
+    return _joined(h, _from(h, 1, n), n)
 
 
 def ngram_counts(df: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target): n-grams of all rows, and of the rows for which `trusted` holds, by hash bucket."""
     hashed = df.select(F.coalesce(trusted, F.lit(False)).alias("t"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
-    grams = hashed.select("t", F.explode(_grams(F.col("h"))).alias("g"))
-    return grams.groupBy(F.pmod("g", F.lit(buckets)).cast("int").alias("bucket")).agg(
+    grams = hashed.select("t", F.explode(F.concat("h", _pairs(F.col("h")))).alias("g"))
+    return grams.groupBy(F.col("g").bitwiseAND(buckets - 1).cast("int").alias("bucket")).agg(
         F.count("*").alias("raw"), F.sum(F.col("t").cast("bigint")).alias("target")
     )
 
@@ -45,7 +54,7 @@ def ngram_counts(df: DataFrame, trusted: Column, text: str = "text", buckets: in
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> list[float]:
     """Log ratio of target to raw multinomial by bucket; at most `buckets` numbers come to the driver.
 
-    A bucket's expected target count follows from its raw count; `prior` pseudo-counts on both sides draw rare buckets to
+    `buckets` is a power of two. A bucket's expected target count follows from its raw count; `prior` pseudo-counts on both sides draw rare buckets to
     a ratio of one. Without trusted or raw n-grams every ratio is one.
     """
     rows = counts.collect()
@@ -88,7 +97,7 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
     Columns of the input with one of these names are replaced.
     """
     ours = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in ours and c not in ("w", "h", "win")]
+    keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in ours]
     table = F.from_json(F.lit("[" + ",".join(repr(x) for x in ratios) + "]"), "array<double>")
     lines = F.filter(F.split(_text(text), "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
     held = [F.struct(*keep).alias("row")] if keep else [F.struct(F.lit(None).alias("_")).alias("row")]
@@ -101,12 +110,13 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.transform("w", lambda w: F.xxhash64(w)).alias("h"),
     )
-    window = F.when(F.col("n") >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.col("n") - WINDOW), lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(WINDOW)])
-    )).otherwise(F.array().cast("array<bigint>"))
-    size = len(ratios)
-    total = F.aggregate(_grams(F.col("h")), F.lit(0.0), lambda a, g: a + F.get(table, F.pmod(g, F.lit(size)).cast("int")))
-    made = made.withColumn("win", window).withColumn(
+    n = F.col("n")
+    made = made.select("*", _pairs(F.col("h")).alias("pairs"))
+    made = made.select("*", _joined(F.col("pairs"), _from(F.col("pairs"), 2, n - 3), n - 3).alias("fours"))
+    made = made.select("*", _joined(F.col("fours"), _from(F.col("h"), 4, n - 4), n - 4).alias("win"))
+    mask = len(ratios) - 1
+    total = F.aggregate(F.concat("h", "pairs"), F.lit(0.0), lambda a, g: a + F.get(table, g.bitwiseAND(mask)))
+    made = made.withColumn(
         "score", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0))
     ).withColumn("n_repeat_words", _repeated_words(F.col("n"))).withColumn("n_words", F.col("n").cast("bigint"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
