@@ -12,6 +12,8 @@ WINDOW = 5
 BUCKETS = 1 << 16
 PRIOR = 5.0
 THRESHOLD = -0.2
+#: Labelled documents, at most, that the target multinomial is made of; 2 MB of ids.
+TRUSTED = 100_000
 MIN_WORDS = 10
 MAX_REPEATED = 20
 
@@ -124,18 +126,23 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
     return made.select(*([F.col("row.*")] if keep else []), *ours)
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """Ids of the trusted documents: those labelled with quality 1 and never with 0."""
-    return (
+def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality", most: int = TRUSTED) -> DataFrame:
+    """Ids of trusted documents: those labelled with quality 1 and never with 0, at most `most`, the first by hash."""
+    good = (
         labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("trusted_id"))
         .agg(F.min(quality).alias("least")).filter("least = 1").select("trusted_id")
     )
+    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
         prior: float = PRIOR) -> list[float]:
-    """Log ratios from all documents against those that `labels` trusts. Without labels every document scores 0."""
+    """Log ratios from all documents against those that `labels` trusts. Without labels every document scores 0.
+
+    The raw multinomial counts every document, the target at most `TRUSTED` of the trusted ones. Their ids are sent to all
+    tasks, so no text is shuffled.
+    """
     ids = trusted_ids(labels, key)
     held = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
-    marked = held.join(ids, held.k == ids.trusted_id, "left")
+    marked = held.join(F.broadcast(ids), held.k == ids.trusted_id, "left")
     return log_ratios(ngram_counts(marked, F.col("trusted_id").isNotNull(), "text", buckets), buckets, prior)
