@@ -117,7 +117,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     common = F.size(F.array_intersect("x", "y"))
     return joined.withColumn("common", common).filter(
         100 * F.col("common") >= similarity * (F.size("x") + F.size("y") - F.col("common"))
-    ).select("a", "b").distinct()
+    ).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY,
