@@ -13,9 +13,6 @@ SHINGLE = 5
 #: 32 bands of 4 coordinates: a pair at similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
 SIMILARITY = 75
-#: Members above which a bucket that still holds unlinked documents is split by a second common band. A pair at
-#: similarity 0.75 that shares one band shares a second with probability 1 - 8e-6.
-SPLIT = 128
 
 
 def _sets(data, offsets):
@@ -108,16 +105,48 @@ def shingle_sets(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return _with_key(df, key, text).mapInArrow(made, f"key {kind}, shingles array<bigint>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough; 64-bit shingle hashes stand for shingles."""
+def _tested(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, n_a, n_b, common, linked): full sets compared; 64-bit shingle hashes stand for shingles."""
     joined = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     )
-    common = F.size(F.array_intersect("x", "y"))
-    return joined.withColumn("common", common).filter(
-        100 * F.col("common") >= similarity * (F.size("x") + F.size("y") - F.col("common"))
-    ).select("a", "b")
+    made = joined.select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return made.withColumn("linked", 100 * F.col("common") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("common")))
+
+
+def _pairs(groups: DataFrame) -> DataFrame:
+    """(a, b): each member of a group with the group's smallest set, once for all groups that share both."""
+    least = groups.groupBy("g").agg(F.min(F.struct("n", "rep")).alias("p"), F.count("*").alias("c")).filter("c > 1")
+    return groups.join(least, "g").filter(F.col("rep") != F.col("p.rep")).select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct()
+
+
+def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Groups (g, rep, n) in which members of one pivot that are not connected yet may still be linked.
+
+    Let P be the pivot and x and y larger sets of its group, x not linked to P. As y is no smaller than P, x and y can be
+    linked only if they share shingles that P lacks, namely at least `need` of them: what a link of x to a set of P's size
+    takes, less what x shares with P. So the first of their common shingles in hash order is among the first
+    size - need + 1 that x has and P lacks, and likewise for y. A group for each such shingle holds every pair in question.
+    """
+    of = found.select(F.col("node"), F.col("component").alias("c"))
+    own = tested.join(of, F.col("a") == F.col("node"), "left").drop("node").withColumn("ca", F.coalesce("c", "a")).drop("c")
+    own = own.join(of, F.col("b") == F.col("node"), "left").drop("node").withColumn("cb", F.coalesce("c", "b")).drop("c")
+    own = settle(own)
+    open_ = own.groupBy("b").agg(F.count("*").alias("members"), F.max(F.col("ca") != F.col("cb")).alias("apart")).filter(
+        "members > 1 AND apart").select("b")
+    held = (
+        own.join(open_, "b").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+    )
+    need = F.ceil((similarity * (F.col("n_a") + F.col("n_b"))) / F.lit(100 + similarity)) - F.col("common")
+    few = F.col("n_a") - F.col("common") - F.greatest(need, F.lit(1)) + 1
+    extra = F.slice(F.array_sort(F.array_except("x", "y")), F.lit(1), F.greatest(few, F.lit(0)).cast("int"))
+    spread = held.select("a", "b", "n_a", "ca", F.explode(extra).alias("s")).select(
+        F.xxhash64("b", "s").alias("g"), F.col("a").alias("rep"), F.col("n_a").alias("n"), "ca")
+    spread = settle(spread)
+    mixed = spread.groupBy("g").agg(F.min("ca").alias("low"), F.max("ca").alias("high")).filter("low != high").select("g")
+    return settle(spread.join(mixed, "g").select("g", "rep", "n"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY,
@@ -130,10 +159,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     row's own. Null, empty and blank texts have no shingles and no links. A row with a null key takes no part in links:
     component and kept are null. Rows that repeat a key are judged each by its own text. An empty table gives no rows.
 
-    Equal sets form one class and are never paired. A first round compares each member of a bucket with the bucket's
-    smallest only; where members of a bucket are then still in different components, a second round compares just
-    members of different components whose set sizes allow a link. So a group of copies costs rows in proportion to its
-    size, and no two documents that share a band stay untested unless they are connected already.
+    Equal sets form one class and are never paired. Each member of a bucket is compared with the bucket's smallest set, its
+    pivot, only. Where members of a pivot are then still unconnected, `_narrower` forms smaller groups of those that can be
+    linked without the pivot, and so on until none are left. So a group of copies costs rows in proportion to its size, and
+    no two documents that share a band are left unconnected though similar enough.
     """
     signed = settle(signatures(df, key, text, bands, rows))
     classes = settle(
@@ -141,17 +170,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
         .agg(F.min("key").alias("rep"), F.any_value("bands").alias("bands"))
     )
     members = classes.select("rep", "n", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.count("*").alias("c"), F.min("rep").alias("first")).filter("c > 1")
-    active = settle(members.join(buckets, "band").select("band", "rep", "n", "c", "first"))
-    wanted = active.select(F.col("rep").alias(key)).distinct()
+    shared = members.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
+    groups = settle(members.join(shared, "band").select(F.col("band").alias("g"), "rep", "n"))
+    wanted = groups.select(F.col("rep").alias(key)).distinct()
     sets = settle(shingle_sets(df.select(key, text).join(wanted, key, "left_semi"), key, text))
-
-    star = active.filter("rep != first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
-    links = settle(_confirmed(star, sets, similarity))
-    found = components(links)
-    left = _unconnected(active, found, classes, similarity)
-    more = settle(_confirmed(left, sets, similarity))
-    found = components(links.unionByName(more))
+    links, found = None, None
+    while not groups.isEmpty():
+        tested = settle(_tested(_pairs(groups), sets, similarity))
+        linked = tested.filter("linked").select("a", "b")
+        links = linked if links is None else links.unionByName(linked)
+        found = components(links)
+        groups = _narrower(tested, found, sets, similarity)
+    if found is None:
+        found = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
 
     of_class = classes.select("f1", "f2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", "n", F.coalesce("component", "rep").alias("component")
@@ -160,24 +191,3 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     return signed.select("key", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"], "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component"), (F.col("key") == own).alias("kept")
     )
-
-
-def _unconnected(active: DataFrame, found: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of one bucket, in different components so far, whose sizes allow a link."""
-    labelled = active.join(found, F.col("rep") == F.col("node"), "left").select(
-        "band", "rep", "n", "c", F.coalesce("component", "rep").alias("of")
-    )
-    open_ = labelled.groupBy("band").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low != high").select("band")
-    rest = settle(labelled.join(open_, "band"))
-    split = rest.filter(F.col("c") > SPLIT).join(classes.select("rep", "bands"), "rep").select(
-        F.explode(F.filter("bands", lambda x: x != F.col("band"))).alias("second"), "band", "rep", "n", "of"
-    ).select(F.xxhash64("band", "second").alias("band"), "rep", "n", "of")
-    small = rest.filter(F.col("c") <= SPLIT).select("band", "rep", "n", "of")
-
-    def paired(rows):
-        x, y = (rows.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "of")]) for s in "xy")
-        near = (F.col("of_x") < F.col("of_y")) & (
-            100 * F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y"))
-        return x.join(y, "band").filter(near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
-
-    return paired(small).unionByName(paired(split)).distinct()
