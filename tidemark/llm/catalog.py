@@ -6,8 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ans, minhash, packing, quality, spans, urls
-from tidemark.session import prepare, shared_dir
+from tidemark.llm import ans, itq, minhash, mixing, packing, quality, sharding, spans, stages, toxicity, urls
+from tidemark.session import prepare, settle, shared_dir
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -30,24 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary(name: str) -> str:
-    """Place of a public vocabulary file, which every executor has."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query("op1_range_ans")
 def op1(spark, sf_dir):
     path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
-    ans.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary("word_bpe_49k.json"), end=2)
+    ans.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, stages.vocabulary("word_bpe_49k.json"), end=2)
     return ans.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @query("op3_cost_packing")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end=1).select(
+    return packing.pack(docs, stages.vocabulary("word_bpe_49k.json"), end=1).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
@@ -82,6 +75,51 @@ def op6(spark, sf_dir):
     return spans.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_itq_hamming", """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (SELECT * FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  AND list_dot_product(a.v, b.v) >= 0.95 * sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))),
+reach AS (SELECT vec_id, vec_id AS r FROM e UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.r),
+comp AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN n USING (vec_id)""")
+def op5(spark, sf_dir):
+    found = itq.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumnRenamed("component", "component_id")
+
+
+@query("op7_boosted_toxicity")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+
+    def fold(key):
+        return F.crc32(F.col(key).cast("string").cast("binary")) % 5
+
+    scorer = toxicity.fit(docs, labels.filter(fold("doc_id") != 0))
+    return scorer.score(docs).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_label_propagation")
+def op8(spark, sf_dir):
+    placed = sharding.shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_hierarchical_mix")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    levels = stages.mix_levels()
+    rows = settle(mixing.counted(docs, levels, stages.vocabulary("word_bpe_49k.json"), end=1))
+    ends = mixing.plan(rows, len(levels), stages.MIX_WEIGHTS, fraction=0.9, epochs=4)
+    names = [f"_l{i}" for i in range(len(levels))]
+    chosen = mixing.choose(rows, ends, names, F.col("_h"))
+    return chosen.select(F.col("key").alias("doc_id"), *[F.col(n).alias(c) for n, c in zip(names, levels)], "n_tokens", "epoch")
+
+
 #: The rules of the contract, longest first wins.
 URL_RULES = ["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"]
 

@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import minhash, mixing, packing, quality, spans
 from tidemark.session import prepare, shared_dir
 
 
@@ -16,7 +16,58 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("kept").select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns])
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows that repeat an id stay or go together, and stay if the text of any of them does; rows without an id stay.
+    """
+    judged = minhash.near_duplicates(docs.select("doc_id", "text"))
+    gone = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text."""
+    made = spans.without_repeats(docs, removed="_removed")
+    made = made.filter((F.col("_removed") == 0) | F.rlike("text", F.lit("[^\\x20\\x09-\\x0D]"))).drop("_removed")
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        made = made.withColumn("n_chars", F.when(F.col("text").isNotNull(), length).otherwise(F.col("n_chars")))
+    return made.select(*docs.columns)
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file, which every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def mix_levels() -> dict:
+    """The tree of the mix: four domains, told by the source, with languages and sources below."""
+    domain = F.concat(F.lit("domain"), (F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+#: Weights of nodes among their siblings where they differ from 1: in every domain English has half of the budget.
+MIX_WEIGHTS = {(f"domain{d}", lang): w for d in range(4) for lang, w in (("en", 5.0), ("de", 2.0), ("fr", 2.0), ("es", 1.0))}
+
+
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents chosen so that tokens follow the target weights, each once at most; the budget is nine tenths of the tokens."""
+    mixed = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1)
+    return mixed.select(*docs.columns)
+
+
+def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens, with their ids."""
+    return packing.pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end=1)
+
+
+STAGES = [
+    ("quality_rules", quality_rules), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup),
+    ("mixing_weights", mixing_weights), ("packing", packing_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str, stages=STAGES) -> DataFrame:
