@@ -160,23 +160,23 @@ class Scorer:
         alias = [f"_c{i}" for i in range(len(kept))]
         rows = features(df.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(kept, alias)], F.col(text).cast("string").alias("text")), self.lexicon)
         margin = self.trees.transform(VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(rows))
-        made = self.calibration.transform(margin.withColumn("_margin", vector_to_array("_raw")[1]))
+        made = self.calibration.transform(margin.withColumn("_margin", vector_to_array("rawPrediction")[1]))
         return made.select(*[F.col(a).alias(c) for c, a in zip(kept, alias)], F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0)).alias(score))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Scorer:
     """Fit on at most `sample` labelled rows, the first by hash; their ids go to all tasks, so no text is shuffled.
 
-    Half of them give the learned lexicon, and the rest the trees and their calibration, so that densities are not
+    Three fifths of them give the learned lexicon, a fifth the trees and a fifth their calibration, so that densities are not
     flattered by the rows they were learned from. Labels with a null key or value are ignored; of a key with several
     labels the greatest counts. `key` only matches labels to texts and draws the sample.
     """
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("toxic"))
     ids = known.withColumn("_h", F.xxhash64("k")).orderBy("_h", "k").limit(sample)
     rows = settle(docs.join(F.broadcast(ids), F.col(key) == F.col("k")).select(
-        F.col(text).cast("string").alias("text"), "toxic", F.pmod(F.xxhash64("_h"), F.lit(4)).alias("part")))
-    lexicon = learn_lexicon(rows.filter("part < 2"))
-    measured = features(rows.filter("part >= 2").select("toxic", "part", "text"), lexicon)
+        F.col(text).cast("string").alias("text"), "toxic", F.pmod(F.xxhash64("_h"), F.lit(5)).alias("part")))
+    lexicon = learn_lexicon(rows.filter("part < 3"))
+    measured = features(rows.filter("part >= 3").select("toxic", "part", "text"), lexicon)
     measured = settle(measured.repartition(4))
     sizes = {r.part: (r.n, r.bad) for r in measured.groupBy("part").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).collect()}
     if len(sizes) < 2 or any(bad in (0, n) for n, bad in sizes.values()):
@@ -184,8 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Scorer(lexicon, constant=bad / n if n else 0.0)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(measured).withColumn("_y", F.col("toxic").cast("double"))
     trees = GBTClassifier(
-        featuresCol="_x", labelCol="_y", predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_q", maxIter=TREES,
-        maxDepth=DEPTH, stepSize=STEP, seed=7).fit(assembled.filter("part = 2").select("_x", "_y"))
-    margin = trees.transform(assembled.filter("part = 3")).withColumn("_margin", vector_to_array("_raw")[1])
+        featuresCol="_x", labelCol="_y", predictionCol="_p", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7).fit(assembled.filter("part = 3").select("_x", "_y"))
+    margin = trees.transform(assembled.filter("part = 4")).withColumn("_margin", vector_to_array("rawPrediction")[1])
     calibration = IsotonicRegression(featuresCol="_margin", labelCol="_y", predictionCol="_score").fit(margin.select("_margin", "_y"))
     return Scorer(lexicon, trees, calibration)
