@@ -1,5 +1,6 @@
 """Token ids of whole texts from a tokenizer file, encoding each distinct word of a worker once."""
 
+import itertools
 import os
 
 import numpy as np
@@ -14,6 +15,8 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[b for b in range(0x80) if chr(b).isalnum()]] = True
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[b for b in range(0x80) if chr(b).isalpha()]] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -21,8 +24,8 @@ class WordEncoder:
     """Ids of texts by a tokenizer that drops white space, lower-cases and splits runs of letters from punctuation.
 
     For such a tokenizer a text's ids are those of its words, one after another, and a word's are those of its body and
-    of the ASCII punctuation after it where the body ends in a letter or digit. Only distinct parts go through the
-    tokenizer. Texts in which a special token may occur (`<|`) are encoded whole. Parts are told apart by two hashes of
+    of the ASCII punctuation after it where the body ends in a letter or digit; a part of ASCII letters is one word of its
+    model. Only distinct parts go through the tokenizer. Texts in which a special token may occur (`<|`) are encoded whole. Parts are told apart by two hashes of
     64 bits; if ever one of them is equal for different parts, the texts at hand are encoded whole too.
     """
 
@@ -38,7 +41,7 @@ class WordEncoder:
         self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in `data`, one after another, and the offset of each text's ids."""
@@ -75,19 +78,28 @@ class WordEncoder:
             return None
         new = first[~there]
         if len(new):
-            texts = [data[a:b].tobytes().translate(_LOWER).decode(errors="replace") for a, b in zip(starts[new], ends[new])]
-            ids, offsets = _joined(self.whole(texts))
-            self.starts = np.concatenate([self.starts, offsets[:-1] + len(self.ids)])
-            self.counts = np.concatenate([self.counts, np.diff(offsets)])
+            ids, offsets = self._encoded(data, starts[new], ends[new])
+            place = at[~there]  # the new keys are sorted, as are those there
+            self.starts = np.insert(self.starts, place, offsets[:-1] + len(self.ids))
+            self.counts = np.insert(self.counts, place, np.diff(offsets))
+            self.checks = np.insert(self.checks, place, checks[new])
+            self.keys = np.insert(self.keys, place, distinct[~there])
             self.ids = np.concatenate([self.ids, ids])
-            self.keys = np.concatenate([self.keys, distinct[~there]])
-            self.checks = np.concatenate([self.checks, checks[new]])
-            order = np.argsort(self.keys, kind="stable")
-            self.keys, self.checks = self.keys[order], self.checks[order]
-            self.starts, self.counts = self.starts[order], self.counts[order]
             at = np.searchsorted(self.keys, distinct)
         return at
 
+    def _encoded(self, data, starts, ends):
+        """Ids of parts; one of ASCII letters alone is a single word to the tokenizer's model and goes there directly."""
+        letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
+        plain = letters[ends] - letters[starts] == ends - starts
+        texts = [data[a:b].tobytes().translate(_LOWER).decode(errors="replace") for a, b in zip(starts, ends)]
+        rest = [t for t, p in zip(texts, plain) if not p]
+        other = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        tokenize = self.tokenizer.model.tokenize
+        lists = [[x.id for x in tokenize(t)] if p else next(other).ids for t, p in zip(texts, plain)]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
+        return np.fromiter(itertools.chain.from_iterable(lists), np.int32, offsets[-1]), offsets
+
 
 def _joined(lists):
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
