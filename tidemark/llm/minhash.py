@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import words
 from tidemark.llm.graph import components
@@ -13,6 +14,8 @@ SHINGLE = 5
 #: 32 bands of 4 coordinates: a pair at similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
 SIMILARITY = 75
+#: Members not linked to the pivot up to which a narrowed group is compared pair by pair; beyond it it gets a pivot again.
+DIRECT = 512
 
 
 def _sets(data, offsets):
@@ -106,28 +109,51 @@ def shingle_sets(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def _tested(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """(a, b, n_a, n_b, common, linked): full sets compared; 64-bit shingle hashes stand for shingles."""
+    """The pairs with n_a, n_b, common and linked: full sets compared; 64-bit shingle hashes stand for shingles."""
     joined = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     )
-    made = joined.select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
+    made = joined.select(*pairs.columns, F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
     return made.withColumn("linked", 100 * F.col("common") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("common")))
 
 
 def _pairs(groups: DataFrame) -> DataFrame:
-    """(a, b): each member of a group with the group's smallest set, once for all groups that share both."""
-    least = groups.groupBy("g").agg(F.min(F.struct("n", "rep")).alias("p"), F.count("*").alias("c")).filter("c > 1")
-    return groups.join(least, "g").filter(F.col("rep") != F.col("p.rep")).select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct()
+    """(a, b): each member of a group with the group's pivot, once for all groups that share both.
 
+    The pivot is the member that meets most others in all groups together: the middle of a family of copies.
+    """
+    groups = groups.select("g", "rep")
+    sizes = groups.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1")
+    met = groups.join(sizes, "g").groupBy("rep").agg(F.sum("size").alias("met"))
+    pivot = groups.join(met, "rep").groupBy("g").agg(F.max(F.struct("met", "rep")).alias("p"))
+    return groups.join(pivot, "g").filter(F.col("rep") != F.col("p.rep")).select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct()
 
-def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Groups (g, rep, n) in which members of one pivot that are not connected yet may still be linked.
 
-    Let P be the pivot and x and y larger sets of its group, x not linked to P. As y is no smaller than P, x and y can be
-    linked only if they share shingles that P lacks, namely at least `need` of them: what a link of x to a set of P's size
-    takes, less what x shares with P. So the first of their common shingles in hash order is among the first
-    size - need + 1 that x has and P lacks, and likewise for y. A group for each such shingle holds every pair in question.
+def _direct(groups: DataFrame, similarity: int) -> DataFrame:
+    """(a, b): members of one group in different components that can be linked by their sizes and places in the group.
+
+    With d the number of shingles that only a member or the pivot has, and p the place of the group's shingle among them,
+    two members share at most 1 + min(d - p) of them if the group's is the first; `_narrower` says how many it takes.
+    """
+    x, y = (groups.select("g", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "ca", "linked", "p", "d", "u")]) for side in "xy")
+    near = (F.col("ca_x") != F.col("ca_y")) & (F.col("linked_y") | (F.col("rep_x") < F.col("rep_y"))) & (
+        100 * F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y")) & (
+        2 * (100 + similarity) * (1 + F.least(F.col("d_x") - F.col("p_x"), F.col("d_y") - F.col("p_y"))) >= F.col("u_x") + F.col("u_y"))
+    return x.filter("NOT linked_x").join(y, "g").filter(near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+
+
+def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Groups (g, rep, n, ca, linked, p, d, u, size, free) of members of one pivot that are not connected yet and may be linked.
+
+    Let P be the pivot, x a set not linked to it, and D(x) the shingles that only one of x and P has. With sizes in place of
+    sets and s for the similarity in hundredths, |x & y| = |x & P| + |y & P| - |P| + |D(x) & D(y)|, and a link of x and y takes
+    (100 + s) |x & y| >= s (|x| + |y|). So D(x) and D(y) must share (u(x) + u(y)) / 2(100 + s) shingles or more, where u(x) is
+    2s |x| - 2(100 + s) |x & P| + (100 + s) |P|. As u lies above (100 - s) |P| for x, and nowhere below -(100 - s) |P|, this is
+    more than none for any y, and at least t(x) = s/(100 + s) (|x| + |P|) - |x & P|; if y is linked to P it is at least
+    t(y) = (s |y| + 100 |P|)/(100 + s) - |y & P|, as it is for two that are not. With these shingles ordered from rare to
+    common, the first that x and y share is then among the first |D| - t + 1 of either. A group for each such shingle holds
+    every pair in question, and what is common in a family makes no groups.
     """
     of = found.select(F.col("node"), F.col("component").alias("c"))
     own = tested.join(of, F.col("a") == F.col("node"), "left").drop("node").withColumn("ca", F.coalesce("c", "a")).drop("c")
@@ -139,14 +165,21 @@ def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity:
         own.join(open_, "b").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     )
-    need = F.ceil((similarity * (F.col("n_a") + F.col("n_b"))) / F.lit(100 + similarity)) - F.col("common")
-    few = F.col("n_a") - F.col("common") - F.greatest(need, F.lit(1)) + 1
-    extra = F.slice(F.array_sort(F.array_except("x", "y")), F.lit(1), F.greatest(few, F.lit(0)).cast("int"))
-    spread = held.select("a", "b", "n_a", "ca", F.explode(extra).alias("s")).select(
-        F.xxhash64("b", "s").alias("g"), F.col("a").alias("rep"), F.col("n_a").alias("n"), "ca")
-    spread = settle(spread)
-    mixed = spread.groupBy("g").agg(F.min("ca").alias("low"), F.max("ca").alias("high")).filter("low != high").select("g")
-    return settle(spread.join(mixed, "g").select("g", "rep", "n"))
+    both, of_a, of_b = 100 + similarity, F.col("n_a").cast("bigint"), F.col("n_b").cast("bigint")
+    least = similarity * of_a + F.when(F.col("linked"), 100).otherwise(similarity) * of_b - both * F.col("common")
+    d = of_a + of_b - 2 * F.col("common")
+    u = 2 * similarity * of_a - 2 * both * F.col("common") + both * of_b
+    only = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+    lacking = settle(held.select(
+        "a", "b", of_a.alias("n"), "ca", "linked", d.alias("d"), u.alias("u"),
+        (d - F.greatest(F.ceil(least / F.lit(both)), F.lit(1)) + 1).alias("few"), F.explode(only).alias("s")))
+    common = lacking.groupBy("b", "s").agg(F.count("*").alias("often"), F.min("ca").alias("low"), F.max("ca").alias("high"))
+    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "s"))
+    early = lacking.join(common, ["b", "s"]).withColumn("p", place).filter("p <= few AND low != high")
+    early = settle(early.select(F.xxhash64("b", "s").alias("g"), F.col("a").alias("rep"), "n", "ca", "linked", "p", "d", "u"))
+    parts = early.groupBy("g").agg(
+        F.count("*").alias("size"), F.count(F.when(~F.col("linked"), 1)).alias("free"), F.min("ca").alias("low"), F.max("ca").alias("high"))
+    return settle(early.join(parts.filter("low != high AND free > 0"), "g"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY,
@@ -161,8 +194,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
 
     Equal sets form one class and are never paired. Each member of a bucket is compared with the bucket's smallest set, its
     pivot, only. Where members of a pivot are then still unconnected, `_narrower` forms smaller groups of those that can be
-    linked without the pivot, and so on until none are left. So a group of copies costs rows in proportion to its size, and
-    no two documents that share a band are left unconnected though similar enough.
+    linked without the pivot, and so on until none are left; groups with at most `DIRECT` unconnected members are compared pair by pair.
+    So a group of copies costs rows in proportion to its size, and no two documents that share a band are left unconnected
+    though similar enough.
     """
     signed = settle(signatures(df, key, text, bands, rows))
     classes = settle(
@@ -174,13 +208,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     groups = settle(members.join(shared, "band").select(F.col("band").alias("g"), "rep", "n"))
     wanted = groups.select(F.col("rep").alias(key)).distinct()
     sets = settle(shingle_sets(df.select(key, text).join(wanted, key, "left_semi"), key, text))
+    pairs = _pairs(groups).withColumn("pivot", F.lit(True))
     links, found = None, None
-    while not groups.isEmpty():
-        tested = settle(_tested(_pairs(groups), sets, similarity))
+    while not (pairs := settle(pairs)).isEmpty():
+        tested = settle(_tested(pairs, sets, similarity))
         linked = tested.filter("linked").select("a", "b")
         links = linked if links is None else links.unionByName(linked)
         found = components(links)
-        groups = _narrower(tested, found, sets, similarity)
+        groups = _narrower(tested.filter("pivot").drop("pivot"), found, sets, similarity)
+        few = F.col("free") <= DIRECT
+        large, small = groups.filter(~few), groups.filter(few)
+        pairs = _pairs(large).withColumn("pivot", F.lit(True)).unionByName(_direct(small, similarity).withColumn("pivot", F.lit(False)))
     if found is None:
         found = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
 
