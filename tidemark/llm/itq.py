@@ -19,7 +19,7 @@ BITS, FARTHEST = 64, 20
 def learn(x: np.ndarray, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection): principal axes, rotated so that signs of the projections lose least."""
     mean = x.mean(0)
-    _, vectors = np.linalg.eigh(np.cov(x - mean, rowvar=False).reshape(x.shape[1], -1))
+    _, vectors = np.linalg.eigh((x - mean).T @ (x - mean))
     axes = vectors[:, ::-1][:, :bits]
     v = (x - mean) @ axes
     rotation = np.linalg.qr(np.random.default_rng(0).normal(size=(axes.shape[1],) * 2))[0]

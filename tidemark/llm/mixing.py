@@ -155,5 +155,9 @@ def mix(df: DataFrame, levels: dict[str, Column], weights: dict[tuple, float], t
     rows = settle(counted(df, levels, tokenizer, end, key, text))
     ends = plan(rows, len(levels), weights, fraction, epochs, seed)
     names = [f"_l{i}" for i in range(len(levels))]
-    held = df.select("*", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels.values())])
-    return choose(held, ends, names, _order(key, text), seed).drop(*names)
+    # All columns of the input in one, so that none meets a name of ours.
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() != "epoch"]
+    held = df.select(
+        F.struct(*columns).alias("row"), _order(key, text).alias("_h"),
+        *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels.values())])
+    return choose(held, ends, names, F.col("_h"), seed).select("row.*", "epoch")

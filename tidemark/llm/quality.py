@@ -99,7 +99,7 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
     Columns of the input with one of these names are replaced.
     """
     ours = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in ours]
+    keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in ours]
     table = F.from_json(F.lit("[" + ",".join(repr(x) for x in ratios) + "]"), "array<double>")
     lines = F.filter(F.split(_text(text), "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
     held = [F.struct(*keep).alias("row")] if keep else [F.struct(F.lit(None).alias("_")).alias("row")]

@@ -115,13 +115,14 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", remo
     are on hashes alone, so one very common span is split by adaptive execution.
     """
     cut = F.arrow_udf(_without, "text string, before bigint, removed bigint")
-    later = later_spans(df.select(key, text), key, text).select(F.col("key").alias("_key"), F.col("later").alias("_later"))
-    columns = [c for c in df.columns if c != removed]
-    quoted = [F.col(f"`{c.replace('`', '``')}`") for c in columns]
-    joined = df.select(*quoted).join(later, F.col(key) == F.col("_key"), "left")
-    hit = F.col("_later").isNotNull()
-    made = joined.withColumn("_new", cut(F.when(hit, F.col(text).cast("string")), F.col("_later.at"), F.col("_later.h1")))
+    later = later_spans(df.select(key, text), key, text).select(F.col("key").alias("of"), "later")
+    columns = [c for c in df.columns if c.lower() != removed.lower()]
+    # All columns of the input in one, so that none meets a name of ours.
+    rows = df.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in columns]).alias("row"), F.col(key).alias("own"), F.col(text).alias("old"))
+    joined = rows.join(later, F.col("own") == F.col("of"), "left")
+    hit = F.col("of").isNotNull()
+    made = joined.withColumn("new", cut(F.when(hit, F.col("old").cast("string")), F.col("later.at"), F.col("later.h1")))
     return made.select(
-        *[F.when(hit, F.col("_new.text")).otherwise(F.col(text)).alias(text) if c == text else q for c, q in zip(columns, quoted)],
-        F.coalesce("_new.removed", F.lit(0).cast("bigint")).alias(removed),
+        *[F.when(hit, F.col("new.text")).otherwise(F.col("old")).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns],
+        F.coalesce("new.removed", F.lit(0).cast("bigint")).alias(removed),
     )

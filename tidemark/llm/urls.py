@@ -41,7 +41,10 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     """
     ours = ["host", "path", "rule", "verdict"]
     host, path = host_and_path(_quoted(url))
-    rows = df.select(*[_quoted(c) for c in df.columns if c not in ours], host.alias("host"), path.alias("path"))
+    kept = [_quoted(c) for c in df.columns if c.lower() not in ours]
+    # All columns of the input in one, so that none meets a name of ours.
+    rows = df.select(F.struct(*(kept or [F.lit(0).alias("_")])).alias("row"), host.alias("host"), path.alias("path"))
+    given = [F.col("row.*")] if kept else []
     rules = rules.select(
         F.col("host").alias("r_host"), F.col("path").alias("r_path"), F.col("action").alias("r_action")
     ).filter("r_host != '' AND r_path IS NOT NULL AND r_action IS NOT NULL")
@@ -50,7 +53,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
         F.max(F.size(F.split("r_host", "[.]"))).alias("labels"), F.sort_array(F.collect_set(F.length("r_path"))).alias("lengths")
     ).first()
     if shape.labels is None:
-        return rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return rows.select(*given, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
 
     labels = F.split("host", "[.]")
     suffixes = F.transform(
@@ -79,7 +82,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
         .groupBy("host", "path").agg(F.max(rank).alias("best"))
     )
     return rows.join(best, ["host", "path"], "left").select(
-        *[_quoted(c) for c in rows.columns], F.col("best.rule").alias("rule"),
+        *given, "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
     )
 
