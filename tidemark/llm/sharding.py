@@ -14,14 +14,22 @@ def capacities(rows: int, shards: int) -> list[int]:
 
 
 def quotas(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
-    """Moves allowed from shard to shard: what goes the other way too, and beyond it the room of the target."""
-    out = {(a, b): min(n, wanted.get((b, a), 0)) for (a, b), n in wanted.items()}
-    left = list(room)
-    for a, b in sorted(wanted):
-        more = min(wanted[a, b] - out[a, b], max(left[b], 0))
-        out[a, b] += more
-        left[b] -= more
-    return out
+    """Moves allowed from shard to shard, so that no shard takes more than its room and what leaves it by allowed moves."""
+    out = dict(wanted)
+    while True:
+        gain = [0] * len(room)
+        for (a, b), n in out.items():
+            gain[a] -= n
+            gain[b] += n
+        over = [s for s in range(len(room)) if gain[s] > max(room[s], 0)]
+        if not over:
+            return out
+        for s in over:
+            excess = gain[s] - max(room[s], 0)
+            for pair in sorted((p for p in out if p[1] == s and out[p]), key=lambda p: (-out[p], p)):
+                less = min(excess, out[pair])
+                out[pair] -= less
+                excess -= less
 
 
 def propagate(members: DataFrame, room_of: list[int], rows: int, rounds: int = ROUNDS) -> DataFrame:
@@ -29,7 +37,7 @@ def propagate(members: DataFrame, room_of: list[int], rows: int, rounds: int = R
 
     A row wants the shard in which most rows of its group lie, ties going by a hash of group and shard, and stays where it
     is if none has more. In every other round only shards with room count as targets, so that a group larger than a shard
-    fills one after another; in the rounds between, rows may also change places. Groups are counted by shard, never
+    fills one after another; in the rounds between, rows may also change places, in circles too. Groups are counted by shard, never
     expanded into pairs. Counts, wishes and quotas are numbers per pair of shards. Shards never exceed `room_of`.
     """
     shards = len(room_of)
@@ -74,7 +82,7 @@ def shards(df: DataFrame, key: str = "doc_id", text: str = "text", count: int =
     ))
     rows = base.count()
     takes = capacities(rows, count)
-    shared = base.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
+    shared = settle(base.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g"))  # so that a hot group can be split below
     members = settle(base.select("row", "g").join(shared, "g"))
     placed = propagate(members, takes, rows)
     held = {r.label: r.n for r in placed.groupBy("label").agg(F.count("*").alias("n")).collect()}
