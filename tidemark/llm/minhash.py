@@ -204,7 +204,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
         .agg(F.min("key").alias("rep"), F.any_value("bands").alias("bands"))
     )
     members = classes.select("rep", "n", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
+    shared = settle(members.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band"))  # so that a hot band can be split below
     groups = settle(members.join(shared, "band").select(F.col("band").alias("g"), "rep", "n"))
     wanted = groups.select(F.col("rep").alias(key)).distinct()
     sets = settle(shingle_sets(df.select(key, text).join(wanted, key, "left_semi"), key, text))
