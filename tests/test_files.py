@@ -60,6 +60,40 @@ def test_stream_in_two_runs_equals_batches(spark, tmp_path):
     assert first == {"1": "KIT1", "2": "KIT2"}
 
 
+def test_stream_reads_by_header_and_refuses_bad_files(spark, tmp_path):
+    inbox, root = tmp_path / "in", str(tmp_path / "w")
+    inbox.mkdir()
+    write(inbox, "a.csv", list(reversed(fixed.REQUIRED_COLUMNS)), ",".join(reversed(GOOD.split(","))))
+    write(inbox, "b.csv", fixed.REQUIRED_COLUMNS[1:], GOOD.replace("KIT1,", ""))
+    write(inbox, "c.csv", fixed.REQUIRED_COLUMNS, GOOD.replace("98765432", "20000001"), GOOD.replace("98765432", "20000002") + ",more,still more")
+    write(inbox, "d.csv", fixed.REQUIRED_COLUMNS, GOOD.replace("98765432", "20000003").replace("Pack", '"Pack ""Pro"", 50M"'))
+    for _ in range(2):
+        ingest.start_ingest(spark, str(inbox), root, f"{root}/cp", {"availableNow": True}).awaitTermination()
+    rows = {r.msisdn: r for r in tables.Warehouse(spark, root).read("clean_data").filter("is_valid").collect()}
+    assert set(rows) == {"21698765432", "21620000003"}
+    assert rows["21698765432"].kit_code == "KIT1" and rows["21620000003"].offre == 'Pack "Pro", 50M' and rows["21620000003"].city == "El Menzah"
+    log = {r.file.rsplit("/", 1)[1]: (r.status, r.rows) for r in spark.read.parquet(f"{root}/landing_log").collect()}
+    assert log == {"a.csv": ("processed", 1), "b.csv": ("failed", 0), "c.csv": ("failed", 0), "d.csv": ("processed", 1)}
+
+
+def test_batches_without_an_id_follow_each_other(spark, tmp_path):
+    root = str(tmp_path / "w")
+    read = lambda name, *lines: (write(tmp_path, name, fixed.REQUIRED_COLUMNS, *lines), L.read_landing(spark, [f"{tmp_path}/{name}"])[0])[1]
+    number = lambda i: GOOD.replace("98765432", f"2000000{i}").replace("KIT1", f"KIT{i}")
+    none = run_batch(spark, read("z.csv", "KIT9,12,M18,Pack,,,,,,,,,x"), root, L.ORDER_COLUMNS)
+    assert none["fact_abonnements"].count() == 0 and none["dim_time"].count() == 0
+    run_batch(spark, read("a.csv", number(1), number(2)), root, L.ORDER_COLUMNS)
+    third = read("b.csv", number(3).replace("2024", "2021"), number(4).replace(",M18,", ",,"))
+    run_batch(spark, third, root, L.ORDER_COLUMNS, token="b")
+    last = run_batch(spark, third, root, L.ORDER_COLUMNS, token="b")
+    assert {r.kit_code for r in last["fact_abonnements"].collect()} == {"KIT1", "KIT2", "KIT3"}
+    assert sorted({r.year for r in last["dim_time"].collect()}) == [2021, 2022, 2023, 2024]
+    assert spark.read.parquet(f"{root}/raw_data").count() == 5
+    kept = spark.read.parquet(f"{root}/fact_unmapped")
+    assert [(r.msisdn, list(r.missing_keys)) for r in kept.collect()] == [("21620000004", ["dealer_id_pk"])]
+    assert spark.read.parquet(f"{root}/etl_quality").count() == 3
+
+
 def test_late_days_update_stored_counts(spark, tmp_path):
     source, root = tmp_path / "ev", str(tmp_path / "c")
     day = lambda d, n: spark.createDataFrame([(dt.datetime(2024, 1, d, 5),)] * n, "ts timestamp_ntz")
@@ -74,6 +108,8 @@ def test_late_days_update_stored_counts(spark, tmp_path):
     assert run() == {1: 2, 3: 1}
     day(1, 3).write.parquet(f"{source}/x2")
     assert run() == {1: 5, 3: 1}
+    spark.createDataFrame([(dt.datetime(2022, 6, 20, 5),)], "ts timestamp_ntz").write.parquet(f"{source}/x3")
+    assert run() == {1: 5, 3: 1, 20: 1}
 
 
 def test_result_documents_round_trip(spark, tmp_path):

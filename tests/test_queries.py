@@ -4,8 +4,7 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
-
-CHECKS = entry.oracle_sql()
+from tidemark.catalog.base import CHECKS, QUERIES
 # Fits of tree models take long and have tests of their own.
 SLOW = {"tree_tuning", "tree_backtest", "evaluate_models", "best_model_forecast", "best_model", "top3_models", "batch_scoring", "scoring_summary", "model_files"}
 
@@ -15,9 +14,9 @@ def con(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, sf, con, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     if name in CHECKS:
         problem, _ = compare(df, con, CHECKS[name])
         assert not problem
@@ -27,3 +26,7 @@ def test_query(spark, sf, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())

@@ -158,7 +158,8 @@ dim_time AS (SELECT CAST(date_diff('day', DATE '2024-01-01', d) + 1 AS BIGINT) A
  CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(quarter(d) AS INTEGER) AS quarter,
  CAST(year(d) AS INTEGER) AS year, isodow(d) >= 6 AS is_weekend,
  month(d)*100 + day(d) IN (101, 320, 409, 501, 725, 813) AS is_holiday
- FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS d))"""
+ FROM (SELECT CAST(unnest(generate_series(make_date(low, 1, 1), make_date(high, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+ FROM (SELECT min(year(creation_day)) AS low, max(year(creation_day)) AS high FROM firsts)))"""
 
 
 def _numbered(name, id_column, members, key):

@@ -74,11 +74,8 @@ def newly_loaded(spark, sf):
 def stream_ingest(spark, sf):
     """Landing files taken up by the streaming batch."""
     root = scratch(spark, "stream")
-    columns = ["row_seq", *fixed.LANDING_COLUMNS]
     order = [F.col("row_seq").cast("bigint")]
-    run = ingest.start_ingest(
-        spark, f"{landing_files(spark, sf)}/good", root, f"{root}/checkpoint", {"availableNow": True}, columns=columns, order=order
-    )
+    run = ingest.start_ingest(spark, f"{landing_files(spark, sf)}/good", root, f"{root}/checkpoint", {"availableNow": True}, order=order)
     run.awaitTermination()
     return Warehouse(spark, root).read("fact_abonnements").drop("creation_month")
 

@@ -427,8 +427,7 @@ def recent_anomalies(spark, sf):
 
 
 @query("recommendations", with_(TO_NAIVE + [_FOLD.strip(), _ANOM], _BT.strip() + f""" SELECT a.series_key, {r6('s.mm/1e6', 'mape_mean')}, a.n AS anomalies,
- CASE WHEN s.mm < 15 THEN 'Excellent - ready for production use' WHEN s.mm < 25 THEN 'Good - consider intervals for decisions' ELSE 'Needs improvement - consider more features or data' END AS model_advice,
- CASE WHEN a.n > 3 THEN 'Investigate potential causes' ELSE 'Normal anomaly levels' END AS anomaly_advice
+ CASE WHEN s.mm < 15 THEN 'a' WHEN s.mm < 25 THEN 'b' ELSE 'c' END AS rating, a.n > 3 AS review
  FROM (SELECT series_key, avg(mape) AS mm FROM fr GROUP BY 1) s JOIN (SELECT series_key, count(*) FILTER (is_anomaly) AS n FROM anom GROUP BY 1) a USING (series_key)"""))
 def recommendations(spark, sf):
     rows = insight.recommendations(E.backtest_summary(_fold_rows(spark, sf)), insight.anomaly_rate(flagged(spark, sf)))

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (
-    TIME, TO_CLEAN, TO_DIMS, TO_FACT, TO_FIRST, judged, landing, query, scratch, star_tables, with_,
+    FIRST, TIME, TO_CLEAN, TO_DIMS, TO_FACT, TO_FIRST, judged, landing, query, scratch, star_tables, with_,
 )
 from tidemark.operators import checks, clean, reports, star
 from tidemark.plans.batch import run_batch
@@ -17,14 +17,14 @@ def _lists(spark, sf):
     return t["dim_time"], t["dim_offer"], t["dim_geo"], t["dim_dealer"], t["fact_abonnements"]
 
 
-@query("dim_time", with_([TIME], "SELECT * FROM dim_time"))
+@query("dim_time", with_(TO_FIRST + [TIME], "SELECT * FROM dim_time"))
 def dim_time(spark, sf):
-    return star.dim_time(spark)
+    return star.dim_time_of(_firsts(spark, sf))
 
 
-@query("dim_time_as_written", with_([TIME], "SELECT full_date, month(full_date) + 100*day(full_date) IN (101, 320, 409, 501, 725, 813) AS is_holiday FROM dim_time"))
+@query("dim_time_as_written", with_(TO_FIRST + [TIME], "SELECT full_date, month(full_date) + 100*day(full_date) IN (101, 320, 409, 501, 725, 813) AS is_holiday FROM dim_time"))
 def dim_time_as_written(spark, sf):
-    return star.dim_time(spark, holidays_as_written=True).select("full_date", "is_holiday")
+    return star.dim_time_of(_firsts(spark, sf), holidays_as_written=True).select("full_date", "is_holiday")
 
 
 def _firsts(spark, sf):
@@ -142,7 +142,7 @@ def dim_dealer_upsert_touch(spark, sf):
     return merged.select("dealer_id", F.date_format("updated_at", "yyyy-MM-dd").alias("touched"))
 
 
-@query("fact_upsert", with_(_TWO + [TIME], """,
+@query("fact_upsert", with_(_TWO + [FIRST, TIME], """,
 g AS (SELECT DISTINCT city, governorate, delegation_name, locality_name FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2) WHERE delegation_name IS NOT NULL AND locality_name IS NOT NULL),
 w1 AS (SELECT f.*, t.date_id FROM f1 f JOIN dim_time t ON t.full_date=f.creation_day JOIN g USING (city, governorate, delegation_name, locality_name) WHERE offre IS NOT NULL AND dealer_id IS NOT NULL),
 w2 AS (SELECT f.*, t.date_id FROM f2 f JOIN dim_time t ON t.full_date=f.creation_day JOIN g USING (city, governorate, delegation_name, locality_name) WHERE offre IS NOT NULL AND dealer_id IS NOT NULL)
@@ -197,7 +197,7 @@ def null_key_count(spark, sf):
 
 @query("orphan_days", with_(TO_FIRST + [TIME], "SELECT count(*) AS orphaned_dates FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM dim_time t WHERE t.full_date=f.creation_day)"))
 def orphan_days(spark, sf):
-    time = star.dim_time(spark).withColumnRenamed("full_date", "creation_day")
+    time = star.dim_time_of(_firsts(spark, sf)).withColumnRenamed("full_date", "creation_day")
     return checks.orphans(_firsts(spark, sf), time, "creation_day")
 
 

@@ -92,15 +92,10 @@ def scenario_insights(stats: DataFrame, by=S.KEY) -> DataFrame:
 
 
 def recommendations(summary: DataFrame, rates: DataFrame, by=S.KEY) -> DataFrame:
-    """Advice per series from mean backtest MAPE and number of anomalies."""
+    """Rating of the model (a, b, c by mean backtest MAPE) and whether the anomalies of a series call for a review."""
     joined = summary.join(rates, list(by))
-    model = (
-        F.when(F.col("mape_mean") < fixed.RATING_EXCELLENT, "Excellent - ready for production use")
-        .when(F.col("mape_mean") < fixed.RATING_GOOD, "Good - consider intervals for decisions")
-        .otherwise("Needs improvement - consider more features or data")
-    )
-    found = F.when(F.col("anomalies") > 3, "Investigate potential causes").otherwise("Normal anomaly levels")
-    return joined.select(*by, "mape_mean", "anomalies", model.alias("model_advice"), found.alias("anomaly_advice"))
+    rating = F.when(F.col("mape_mean") < fixed.RATING_EXCELLENT, "a").when(F.col("mape_mean") < fixed.RATING_GOOD, "b").otherwise("c")
+    return joined.select(*by, "mape_mean", "anomalies", rating.alias("rating"), (F.col("anomalies") > 3).alias("review"))
 
 
 def recent_anomalies(flagged: DataFrame, k=5, by=S.KEY) -> DataFrame:

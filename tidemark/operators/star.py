@@ -14,11 +14,25 @@ GEO_KEY = ["city", "governorate", "delegation_name", "locality_name"]
 
 def dim_time(spark: SparkSession, first_year=fixed.TIME_FIRST_YEAR, last_year=fixed.TIME_LAST_YEAR,
              holidays_as_written=False) -> DataFrame:
-    """Every day of the given years; the key counts days from the first one."""
-    first, last = F.make_date(F.lit(first_year), F.lit(1), F.lit(1)), F.make_date(F.lit(last_year), F.lit(12), F.lit(31))
+    """Every day of the given years."""
+    return _calendar(spark.range(1).select(F.lit(first_year).alias("low"), F.lit(last_year).alias("high")), holidays_as_written)
+
+
+def dim_time_of(rows: DataFrame, day="creation_day", known: DataFrame | None = None, holidays_as_written=False) -> DataFrame:
+    """Every day from the first to the last year of the rows, and of a calendar known so far. No rows give no days."""
+    years = rows.select(F.year(day).alias("y"))
+    if known is not None:
+        years = years.unionByName(known.select(F.year("full_date").alias("y")))
+    return _calendar(years.agg(F.min("y").alias("low"), F.max("y").alias("high")), holidays_as_written)
+
+
+def _calendar(span: DataFrame, holidays_as_written) -> DataFrame:
+    """Days of the years low to high; the key counts days from a fixed one, so that a longer span changes no key."""
+    origin = F.make_date(F.lit(fixed.TIME_FIRST_YEAR), F.lit(1), F.lit(1))
+    first, last = F.make_date("low", F.lit(1), F.lit(1)), F.make_date("high", F.lit(12), F.lit(31))
     d = F.col("full_date")
-    return spark.range(1).select(dates.days_between(first, last).alias("full_date")).select(
-        (F.date_diff(d, first) + 1).cast("bigint").alias("date_id"),
+    return span.filter("low IS NOT NULL").select(dates.days_between(first, last).alias("full_date")).select(
+        (F.date_diff(d, origin) + 1).cast("bigint").alias("date_id"),
         d,
         F.weekday(d).alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_name"),

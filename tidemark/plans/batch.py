@@ -1,6 +1,7 @@
 """One batch from landing rows to star tables, checks and audit row."""
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,13 @@ from tidemark.sources.tables import Warehouse
 STORED_CLEAN = [c for c in clean.CLEAN_COLUMNS if c != "errors"] + ["validation_errors"]
 
 
-def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id: int = 1, now: dt.datetime | None = None,
-              critical_match="documented") -> dict[str, DataFrame]:
-    """Clean, upsert and report one batch. Running a batch again rewrites the same versions, so it changes nothing.
+def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id: int | None = None, now: dt.datetime | None = None,
+              critical_match="documented", token: str | None = None) -> dict[str, DataFrame]:
+    """Clean, upsert and report one batch on top of those before.
+
+    A batch without an id takes the next free version of the warehouse. Running a batch again under its id, or under a
+    `token` that names its input, rewrites the same versions, so it changes nothing. Rows without a dimension key, the
+    quality row and the integrity row are kept per batch beside the audit row.
 
     The judged rows feed clean table, dimensions, fact and checks; they are written once and read back. Writes that do
     not depend on each other are submitted side by side, so that small ones do not leave the cluster idle.
@@ -24,6 +29,8 @@ def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id:
     prepare(spark)
     start = now or dt.datetime.now()
     store = Warehouse(spark, root)
+    if batch_id is None:
+        batch_id = store.version_of(token or uuid.uuid4().hex)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     position = F.struct(*order)
 
@@ -38,7 +45,8 @@ def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id:
             "dealer": (star.dealer_members(valid), "dealer_id_pk", ["dealer_id"]),
         }
         pending = {n: pool.submit(_write_dimension, store, n, *m, batch_id, start) for n, m in members.items()}
-        dims = {"time": store.read("dim_time") or store.write("dim_time", star.dim_time(spark))}
+        calendar = star.dim_time_of(valid, known=store.read("dim_time", before=batch_id))
+        dims = {"time": store.write("dim_time", calendar, batch_id)}
         dims.update({n: p.result() for n, p in pending.items()})
 
         loaded, unmapped = star.build_fact(valid, dims)
@@ -53,19 +61,28 @@ def run_batch(spark: SparkSession, rows: DataFrame, root: str, order, batch_id:
         fact = store.write(
             "fact_abonnements", fact.withColumn("creation_month", F.trunc("creation_day", "month")), batch_id, "creation_month"
         )
+        integrity = checks.integrity(fact, dims["time"])
+        kept = {"fact_unmapped": unmapped, "etl_quality": quality, "etl_integrity": integrity}
+        kept = {n: pool.submit(_write_kept, df, f"{root}/{n}/batch={batch_id}") for n, df in kept.items()}
         counts, cleaned = counts.result(), cleaned.result()
         raw.result()
+        kept = {n: f.result() for n, f in kept.items()}
 
     end = now or dt.datetime.now()
     audit = star.audit_row(spark, "subscription batch", "COMPLETED", start, end, counts)
     audit.write.mode("overwrite").parquet(f"{root}/etl_audit_log/batch={batch_id}")
     return {
         "clean_data": cleaned, **{f"dim_{n}": d for n, d in dims.items()}, "fact_abonnements": fact,
-        "unmapped": unmapped, "judged": judged.drop("_order"), "quality": quality,
-        "integrity": checks.integrity(fact, dims["time"]), "audit": spark.read.parquet(f"{root}/etl_audit_log"),
+        "unmapped": kept["fact_unmapped"], "judged": judged.drop("_order"), "quality": kept["etl_quality"],
+        "integrity": kept["etl_integrity"], "audit": spark.read.parquet(f"{root}/etl_audit_log"),
     }
 
 
+def _write_kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _write_clean(store: Warehouse, judged: DataFrame, valid: DataFrame, batch_id: int) -> DataFrame:
     incoming = valid.withColumn("validation_errors", F.lit(None).cast("string")).select(*STORED_CLEAN)
     invalid = clean.error_text(judged.filter("NOT is_valid")).select(

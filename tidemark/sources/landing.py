@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark import fixed
 from tidemark.functions.text import na_to_null
+from tidemark.session import settle
 
 # Columns that give every landing row its place: file, start of the split, row counter within it.
 ORDER_COLUMNS = ["_file", "_block", "_row"]
@@ -46,14 +47,16 @@ def nulls_normalized(df: DataFrame) -> DataFrame:
     return df.withColumns({c: na_to_null(F.col(c)) for c in texts})
 
 
-def read_landing(spark: SparkSession, path: str, multiline=False) -> tuple[DataFrame, DataFrame]:
-    """Rows of all well-formed files, and a log with one row per file.
+def read_landing(spark: SparkSession, path: str | list[str], multiline=False) -> tuple[DataFrame, DataFrame]:
+    """Rows of all well-formed files of a folder, or of a list of files, and a log with one row per file.
 
-    Files are grouped by header, one scan per distinct header; every column is read as text, so that no value
-    changes by type inference. Files without all required columns are logged as failed and left out. Rows carry
-    ORDER_COLUMNS, which sort in file and line order.
+    Files are grouped by header, one scan per distinct header, so columns are told by name whatever their order; every
+    column is read as text, so that no value changes by type inference. Doubled quotes stand for one; line breaks within
+    quotes need `multiline`, which reads each file in one task. Files without all required columns, and files with a row
+    of more fields than the header, are logged as failed and left out as a whole. Rows carry ORDER_COLUMNS, which sort in
+    file and line order.
     """
-    files = list_files(spark, path)
+    files = list_files(spark, path) if isinstance(path, str) else sorted(path)
     with ThreadPoolExecutor(16) as pool:
         headers = dict(zip(files, pool.map(lambda f: tuple(read_header(spark, f)), files)))
     groups: dict[tuple, list[str]] = {}
@@ -66,9 +69,9 @@ def read_landing(spark: SparkSession, path: str, multiline=False) -> tuple[DataF
             groups.setdefault(header, []).append(file)
     rows = None
     for header, members in groups.items():
-        schema = T.StructType([T.StructField(normal_name(n), T.StringType()) for n in header])
+        schema = T.StructType([T.StructField(normal_name(n), T.StringType()) for n in [*header, "_beyond"]])
         part = (
-            spark.read.schema(schema).option("header", True).option("multiLine", multiline).csv(members)
+            spark.read.schema(schema).option("header", True).option("multiLine", multiline).option("escape", '"').csv(members)
             .withColumns({
                 "_file": F.col("_metadata.file_path"),
                 "_block": F.col("_metadata.file_block_start"),
@@ -78,18 +81,23 @@ def read_landing(spark: SparkSession, path: str, multiline=False) -> tuple[DataF
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     if rows is None:
         empty = ", ".join(f"{c} string" for c in fixed.LANDING_COLUMNS)
-        rows = spark.createDataFrame([], f"{empty}, _file string, _block bigint, _row bigint")
-    rows = nulls_normalized(rows)
+        rows = spark.createDataFrame([], f"{empty}, _beyond string, _file string, _block bigint, _row bigint")
+    counts = settle(rows.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("rows"), F.count("_beyond").alias("beyond")))
     outcome = spark.createDataFrame(
         failed + [(f, "processed", None) for members in groups.values() for f in members],
         "file string, status string, error string",
     )
-    counts = rows.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("rows"))
-    log = (
-        outcome.join(counts, "file", "left")
-        .select("file", "status", F.coalesce("rows", F.lit(0)).alias("rows"), "error")
+    over = F.coalesce(F.col("beyond") > 0, F.lit(False))
+    log = outcome.join(counts, "file", "left").select(
+        "file", F.when(over, "failed").otherwise(F.col("status")).alias("status"),
+        F.when(over, 0).otherwise(F.coalesce("rows", F.lit(0))).cast("bigint").alias("rows"),
+        F.when(over, F.concat(F.col("beyond").cast("string"), F.lit(" rows with too many fields"))).otherwise(F.col("error")).alias("error"),
     )
-    return rows, log
+    malformed = counts.filter("beyond > 0").select(F.col("file").alias("_file"))
+    if not malformed.isEmpty():
+        rows = rows.join(malformed, "_file", "left_anti")
+    order = [c for c in rows.columns if c not in ("_beyond", *ORDER_COLUMNS)]
+    return nulls_normalized(rows.select(*order, *ORDER_COLUMNS)), log
 
 
 def extract_log(log: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """Stored tables, result files and models."""
 
+import hashlib
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class Warehouse:
@@ -12,14 +16,11 @@ class Warehouse:
         self.spark, self.root = spark, root
 
     def versions(self, name: str) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files or [])
+        return sorted(int(p.getParent().getName().split("=")[1]) for p in self._glob(f"{name}/v=*/_SUCCESS"))
 
     def read(self, name: str, before: int | None = None) -> DataFrame | None:
         known = [v for v in self.versions(name) if before is None or v < before]
-        return self.spark.read.parquet(f"{self.root}/{name}/v={known[-1]}") if known else None
+        return self._open(f"{name}/v={known[-1]}") if known else None
 
     def write(self, name: str, df: DataFrame, version: int = 1, partition_by: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}/v={version}"
@@ -27,7 +28,52 @@ class Warehouse:
             df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        self.note(f"{name}/v={version}/_schema", df.schema.json())
+        return self._open(f"{name}/v={version}")
+
+    def version_of(self, token: str) -> int:
+        """Version of the batch known by this token: the one it was given before, or the next that no batch has."""
+        name = f"etl_batches/{hashlib.md5(token.encode()).hexdigest()}"
+        known = self.noted(name)
+        if known is None:
+            given = [int(self.noted(f"etl_batches/{p.getName()}")) for p in self._glob("etl_batches/*")]
+            loads = [int(p.getName().split("=")[1]) for p in self._glob("raw_data/load_id=*")]
+            known = str(max([0, *given, *loads, *self.versions("clean_data"), *self.versions("fact_abonnements")]) + 1)
+            self.note(name, known)
+        return int(known)
+
+    def note(self, name: str, text: str) -> None:
+        """A small text file of the driver's in the warehouse."""
+        path, fs = self._at(name)
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def noted(self, name: str) -> str | None:
+        path, fs = self._at(name)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _open(self, name: str) -> DataFrame:
+        """A stored table by its own schema, so that one without rows can be read too."""
+        schema = self.noted(f"{name}/_schema")
+        reader = self.spark.read.schema(T.StructType.fromJson(json.loads(schema))) if schema else self.spark.read
+        return reader.parquet(f"{self.root}/{name}")
+
+    def _at(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _glob(self, pattern: str) -> list:
+        path, fs = self._at(pattern)
+        return [f.getPath() for f in fs.globStatus(path) or []]
 
 
 def write_forecast(forecast: DataFrame, path: str, horizons=(30, 90)) -> None:

@@ -1,73 +1,71 @@
 """Streaming entry: new landing files run the batch, events update daily counts."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import fixed
 from tidemark.plans.batch import run_batch
 from tidemark.session import prepare
-from tidemark.sources.landing import ORDER_COLUMNS, nulls_normalized
+from tidemark.sources.landing import ORDER_COLUMNS, read_landing
 from tidemark.sources.tables import Warehouse
 
 
-def landing_stream(spark: SparkSession, landing: str, columns=None, archive: str | None = None, files_per_trigger=None) -> DataFrame:
-    """New landing CSV files as text rows in file and line order. Read files move to `archive` if one is given."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or fixed.LANDING_COLUMNS])
-    reader = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
+def landing_stream(spark: SparkSession, landing: str, archive: str | None = None, files_per_trigger=None) -> DataFrame:
+    """Paths of new landing CSV files; their content is not read here. Read files move to `archive` if one is given."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", "*.csv")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(landing).withColumns({
-        "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
-    })
+    return reader.load(landing).select("path")
 
 
-def start_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, trigger=None, archive=None, columns=None,
-                 order=ORDER_COLUMNS, files_per_trigger=None) -> StreamingQuery:
+def start_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, trigger=None, archive=None,
+                 order=ORDER_COLUMNS, files_per_trigger=None, multiline=False) -> StreamingQuery:
     """Run the batch on every trigger over the files that came in since the last one.
 
-    Files that arrive within one trigger interval form one batch, and batches of a checkpoint never overlap. A batch
-    that is run again after a failure writes the same table versions, so each file counts once. The default trigger
-    looks every 10 seconds; `{"availableNow": True}` takes what is there and stops.
+    Files are read as the batch reads them: columns by header name, incomplete and malformed files logged and left out; the
+    log of each trigger is kept as `landing_log`. Files that arrive within one trigger interval form one batch, and
+    batches of a checkpoint never overlap. A batch that is run again after a failure writes the same table versions, so
+    each file counts once; a new checkpoint goes on behind the versions there are. The default trigger looks every 10
+    seconds; `{"availableNow": True}` takes what is there and stops.
     """
     prepare(spark)
+    store = Warehouse(spark, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = nulls_normalized(batch.withColumn("_row", F.monotonically_increasing_id()))
-        run_batch(batch.sparkSession, rows, root, list(order), batch_id + 1)
-
-    rows = landing_stream(spark, landing, columns, archive, files_per_trigger)
-    writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+        session = batch.sparkSession
+        token = f"{json.loads(store.noted('metadata'))['id']}/{batch_id}"
+        rows, log = read_landing(session, [r.path for r in batch.collect()], multiline)
+        version = Warehouse(session, root).version_of(token)
+        log.write.mode("overwrite").parquet(f"{root}/landing_log/batch={version}")
+        run_batch(session, rows, root, list(order), version)
+
+    writer = landing_stream(spark, landing, archive, files_per_trigger).writeStream.foreachBatch(load)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def daily_counts(events: DataFrame, time_column="ts", delay="30 days", by=()) -> DataFrame:
-    """Events per day, updated as they come; rows later than the delay behind the newest day are dropped.
+def daily_counts(events: DataFrame, time_column="ts", by=()) -> DataFrame:
+    """Events per day. A zoneless time keeps its day whatever zone the session is in."""
+    return events.groupBy(F.col(time_column).cast("date").alias("date"), *by).agg(F.count("*").alias("nb_abonnements"))
 
-    Days are those of the wall clock: a zoneless time keeps its day whatever zone the session is in.
-    """
-    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
-    clock = F.from_utc_timestamp(F.col(time_column).cast("timestamp"), zone)
-    seen = events.withColumn("_ts", clock).withWatermark("_ts", delay)
-    counted = seen.groupBy(F.window("_ts", "1 day"), *by).agg(F.count("*").alias("nb_abonnements"))
-    day = F.to_utc_timestamp(F.col("window.start"), zone).cast("date")
-    return counted.select(day.alias("date"), *by, "nb_abonnements")
 
+def start_daily_counts(events: DataFrame, root: str, checkpoint: str, trigger=None, time_column="ts", by=()) -> StreamingQuery:
+    """Keep the daily counts in a stored table: each batch adds its own counts to those before, however late its rows are.
 
-def start_daily_counts(events: DataFrame, root: str, checkpoint: str, trigger=None, time_column="ts", delay="30 days", by=()) -> StreamingQuery:
-    """Keep the daily counts in a stored table: each batch replaces the days it changed."""
+    Batches are counted without state, and a batch that is run again starts from the same version, so each row counts once.
+    """
     spark = prepare(events.sparkSession)
     store = Warehouse(spark, root)
 
-    def merge(changed: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        counted = daily_counts(batch, time_column, by)
         known = store.read("daily_counts", before=batch_id + 1)
         if known is not None:
-            kept = known.join(changed.select("date", *by), ["date", *by], "left_anti")
-            changed = kept.unionByName(changed)
-        store.write("daily_counts", changed, batch_id + 1)
+            counted = known.unionByName(counted).groupBy("date", *by).agg(F.sum("nb_abonnements").alias("nb_abonnements"))
+        store.write("daily_counts", counted, batch_id + 1)
 
-    writer = daily_counts(events, time_column, delay, by).writeStream.outputMode("update").foreachBatch(merge)
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
