@@ -8,8 +8,8 @@ import pyarrow as pa
 
 from tidemark.llm import words
 
-#: Words a worker keeps; beyond it starts afresh. About 60 bytes a word.
-CACHED = 2_000_000
+#: Parts of words that a worker keeps at most, 28 bytes each, and ids of parts after which it starts afresh.
+PLACES, CACHED = 1 << 21, 1 << 24
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
@@ -37,25 +37,39 @@ class WordEncoder:
         self.clear()
 
     def clear(self):
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        """An empty cache: a part has two places by bits of its hash, and takes the second from an earlier part if need be."""
+        self.keys, self.checks = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint64)
+        self.starts, self.counts = np.zeros(PLACES, np.int64), np.full(PLACES, -1, np.int32)
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.used = 0
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in `data`, one after another, and the offset of each text's ids."""
+        if self.used > CACHED:
+            self.clear()
         n = len(offsets) - 1
         starts, ends, doc = _parts(*words.spans(data, offsets), data)
         keys, checks = (words.span_hashes(data, starts, ends, lower=True, which=k) for k in (0, 1))
-        distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        at = self._known(data, starts, ends, distinct, checks, first)
-        if at is None or (checks[first][which] != checks).any():
-            return _joined(self.whole([data[a:b].tobytes().decode(errors="replace") for a, b in zip(offsets, offsets[1:])]))
-        at = at[which]
-        counts = self.counts[at]
-        begin = np.cumsum(counts) - counts
-        ids = self.ids[np.repeat(self.starts[at] - begin, counts) + np.arange(counts.sum())]
+        begin, counts = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        new = np.arange(len(keys))
+        for shift in (0, 32):
+            place = _place(keys[new], shift)
+            hit = (self.keys[place] == keys[new]) & (self.checks[place] == checks[new]) & (self.counts[place] >= 0)
+            begin[new[hit]], counts[new[hit]] = self.starts[place[hit]], self.counts[place[hit]]
+            new = new[~hit]
+        if len(new):
+            distinct, first, which = np.unique(keys[new], return_index=True, return_inverse=True)
+            first = new[first]
+            if (checks[first][which] != checks[new]).any():
+                return _joined(self.whole([data[a:b].tobytes().decode(errors="replace") for a, b in zip(offsets, offsets[1:])]))
+            made, at = self._encoded(data, starts[first], ends[first])
+            begin[new], counts[new] = (at[:-1] + self.used)[which], np.diff(at)[which]
+            self._keep(distinct, checks[first], made, at)
+        before = np.cumsum(counts) - counts
+        ids = self.ids[np.repeat(begin - before, counts) + np.arange(counts.sum())]
         of_doc = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=counts, minlength=n).astype(np.int64))])
         special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
         if len(special):
@@ -67,26 +81,17 @@ class WordEncoder:
             return _joined(made)
         return ids, of_doc
 
-    def _known(self, data, starts, ends, distinct, checks, first):
-        """Places of the distinct parts in the cache, after what is missing was encoded; None if hashes disagree."""
-        if len(self.keys) + len(distinct) > CACHED:
-            self.clear()
-        at = np.searchsorted(self.keys, distinct)
-        there = at < len(self.keys)
-        there[there] = self.keys[at[there]] == distinct[there]
-        if (self.checks[at[there]] != checks[first[there]]).any():
-            return None
-        new = first[~there]
-        if len(new):
-            ids, offsets = self._encoded(data, starts[new], ends[new])
-            place = at[~there]  # the new keys are sorted, as are those there
-            self.starts = np.insert(self.starts, place, offsets[:-1] + len(self.ids))
-            self.counts = np.insert(self.counts, place, np.diff(offsets))
-            self.checks = np.insert(self.checks, place, checks[new])
-            self.keys = np.insert(self.keys, place, distinct[~there])
-            self.ids = np.concatenate([self.ids, ids])
-            at = np.searchsorted(self.keys, distinct)
-        return at
+    def _keep(self, keys, checks, made, at):
+        if self.used + len(made) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(made)), np.int32)])
+        self.ids[self.used:self.used + len(made)] = made
+        place = _place(keys, 0)
+        place = np.where(self.counts[place] < 0, place, _place(keys, 32))
+        _, one = np.unique(place, return_index=True)  # of parts with one place, one is kept
+        place = place[one]
+        self.keys[place], self.checks[place] = keys[one], checks[one]
+        self.starts[place], self.counts[place] = (at[:-1] + self.used)[one], np.diff(at)[one]
+        self.used += len(made)
 
     def _encoded(self, data, starts, ends):
         """Ids of parts; one of ASCII letters alone is a single word to the tokenizer's model and goes there directly."""
@@ -101,6 +106,10 @@ class WordEncoder:
         return np.fromiter(itertools.chain.from_iterable(lists), np.int32, offsets[-1]), offsets
 
 
+def _place(keys, shift):
+    return ((keys >> np.uint64(shift)) & np.uint64(PLACES - 1)).astype(np.int64)
+
+
 def _joined(lists):
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
     return (np.concatenate(lists) if lists else np.zeros(0, np.int32)).astype(np.int32), offsets
@@ -110,13 +119,18 @@ def _parts(starts, ends, doc, data):
     """Words cut in body and punctuation after it, where the body ends in an ASCII letter or digit or a Latin-1 letter."""
     if not len(starts):
         return starts, ends, doc
-    place = np.arange(len(data))
-    last = np.maximum.accumulate(np.where(_PUNCTUATION[data], -1, place))[ends - 1]
-    inside = last >= starts
-    before = data[np.maximum(last - 1, 0)]
-    final = data[np.maximum(last, 0)]
-    latin = (before == 0xC3) & (last > starts) & (final >= 0x80) & (final != 0x97) & (final != 0xB7)
-    cut = inside & (last < ends - 1) & (_ALNUM[final] | latin)
+    last = ends - 1
+    tail = np.flatnonzero(_PUNCTUATION[data[last]])
+    ended = tail
+    while len(tail):
+        last[tail] -= 1
+        tail = tail[(last[tail] >= starts[tail])]
+        tail = tail[_PUNCTUATION[data[last[tail]]]]
+    cut = np.zeros(len(starts), bool)
+    ended = ended[last[ended] >= starts[ended]]
+    final, before = data[last[ended]], data[np.maximum(last[ended] - 1, 0)]
+    latin = (before == 0xC3) & (last[ended] > starts[ended]) & (final >= 0x80) & (final != 0x97) & (final != 0xB7)
+    cut[ended[_ALNUM[final] | latin]] = True
     at = np.arange(len(starts)) + np.cumsum(cut) - cut
     total = len(starts) + int(cut.sum())
     s, e, d = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64)

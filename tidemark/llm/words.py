@@ -1,6 +1,6 @@
 """Words of many texts at once: byte spans and 64-bit hashes from Arrow buffers, without a Python loop over words.
 
-The functions work on a few megabytes of text at a time (`pieces`), so memory stays bounded however many rows a batch
+The functions work on half a megabyte of text at a time (`pieces`), so arrays fit the cache and memory stays bounded however many rows a batch
 has; one text longer than that is a piece of its own.
 """
 
@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 # White space of the word rule: space and the control characters from tab to carriage return.
 SPACE = np.zeros(256, bool)
