@@ -5,8 +5,9 @@ from compare import compare, duck
 
 import __spark_entry__ as entry
 from tidemark.catalog.base import CHECKS, QUERIES
-# Fits of tree models take long and have tests of their own.
-SLOW = {"tree_tuning", "tree_backtest", "evaluate_models", "best_model_forecast", "best_model", "top3_models", "batch_scoring", "scoring_summary", "model_files"}
+
+# Thirteen fits of 100 to 300 trees; tests of their own run them with few trees.
+SLOW = {"tree_tuning", "tree_backtest"}
 
 
 @pytest.fixture(scope="module")

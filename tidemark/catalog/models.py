@@ -15,9 +15,6 @@ from tidemark.plans import forecast as P
 from tidemark.session import settle
 from tidemark.sources import tables
 
-# Fewer trees than the model's default of 200, so that a query takes seconds on one machine.
-TREES = {"maxIter": 20}
-
 
 def _grid_values():
     rows = []
@@ -98,14 +95,14 @@ def trend_tuning(spark, sf):
 
 @query("tree_tuning")
 def tree_tuning(spark, sf):
-    return rounded(P.tune_trees(filled(spark, sf), grid=[(5, 3, 0.1), (10, 3, 0.1)]))
+    return rounded(P.tune_trees(filled(spark, sf)))
 
 
 def _evaluation(spark, sf):
     """Test errors of all models, kept as a table between queries."""
 
     def build(root):
-        P.evaluate(filled(spark, sf), tree_settings=TREES).write.parquet(root)
+        P.evaluate(filled(spark, sf)).write.parquet(root)
         return spark.read.parquet(root)
 
     return staged(spark, sf, "evaluation", build)
@@ -113,7 +110,7 @@ def _evaluation(spark, sf):
 
 @query("evaluate_models")
 def evaluate_models(spark, sf):
-    return rounded(P.evaluate(filled(spark, sf), tree_settings=TREES))
+    return rounded(_evaluation(spark, sf))
 
 
 @query("best_model")
@@ -128,7 +125,7 @@ def top3_models(spark, sf):
 
 @query("best_model_forecast")
 def best_model_forecast(spark, sf):
-    return rounded(P.forecast(filled(spark, sf), E.best_model(_evaluation(spark, sf)), tree_settings=TREES))
+    return rounded(P.forecast(filled(spark, sf), E.best_model(_evaluation(spark, sf))))
 
 
 @query("segment_forecasts")
@@ -142,16 +139,21 @@ def segment_forecasts(spark, sf):
 def tree_backtest(spark, sf):
     frame = X.features(filled(spark, sf), exclude_current=True)
     folded = settle(E.folds(frame))
-    pred = trees.backtest(folded, X.feature_columns(frame), maxIter=5)
+    pred = trees.backtest(folded, X.feature_columns(frame))
     return rounded(E.fold_report(folded, pred))
 
 
 def _tree_model(spark, sf):
+    """Frame, columns, top values and model of the series of all rows, fitted once per session."""
+    return staged(spark, sf, "tree-model", lambda root: _fit_tree_model(spark, sf))
+
+
+def _fit_tree_model(spark, sf):
     det = S.detail(clean_rows(spark, sf))
     govs, cats = X.top_values(det, "governorate"), X.top_values(det, "offre_categorie")
     frame = settle(X.features(filled(spark, sf).filter("series_key = 'all'"), det, exclude_current=True, govs=govs, categories=cats))
     columns = X.feature_columns(frame)
-    return frame, columns, govs, cats, trees.fit(frame, columns, **TREES)
+    return frame, columns, govs, cats, trees.fit(frame, columns)
 
 
 @query("tree_drivers")
