@@ -1,7 +1,7 @@
 """Words of many texts at once: byte spans and 64-bit hashes from Arrow buffers, without a Python loop over words.
 
-The functions work on half a megabyte of text at a time (`pieces`), so arrays fit the cache and memory stays bounded however many rows a batch
-has; one text longer than that is a piece of its own.
+The functions work on half a megabyte of text at a time (`pieces`), so arrays fit the cache and memory stays bounded
+however many rows a batch has; one text longer than that is a piece of its own.
 """
 
 from collections.abc import Iterator
