@@ -376,17 +376,17 @@ def backtest_summary(spark, sf):
     return rounded(rows.withColumns({c: F.col(c) / 1e6 for c in ("mape_mean", "mape_std")}))
 
 
-@query("prediction_interval", with_(TO_NAIVE, f"""SELECT n.series_key, date, yhat, {r6('yhat + lo', 'yhat_lower')}, {r6('yhat + hi', 'yhat_upper')} FROM naive n JOIN
+@query("prediction_interval", with_(TO_NAIVE, f"""SELECT n.series_key, date, yhat, {r6('yhat + lo', 'yhat_lower')}, {r6('yhat + hi', 'yhat_upper')}, 'own' AS bounds FROM naive n JOIN
  (SELECT series_key, quantile_cont(y-yhat, 0.025) AS lo, quantile_cont(y-yhat, 0.975) AS hi FROM naive GROUP BY 1) q USING (series_key)"""))
 def prediction_interval(spark, sf):
     p = naive(spark, sf)
     return rounded(E.interval(p, p).drop("y"))
 
 
-@query("pooled_interval", with_(TO_NAIVE, f"SELECT series_key, date, {r6('yhat + (SELECT quantile_cont(y-yhat, 0.025) FROM naive)', 'yhat_lower')}, {r6('yhat + (SELECT quantile_cont(y-yhat, 0.975) FROM naive)', 'yhat_upper')} FROM naive"))
+@query("pooled_interval", with_(TO_NAIVE, f"SELECT series_key, date, {r6('yhat + (SELECT quantile_cont(y-yhat, 0.025) FROM naive)', 'yhat_lower')}, {r6('yhat + (SELECT quantile_cont(y-yhat, 0.975) FROM naive)', 'yhat_upper')}, 'pooled' AS bounds FROM naive"))
 def pooled_interval(spark, sf):
     p = naive(spark, sf)
-    return rounded(E.interval(p, p, min_rows=10**9).drop("y", "yhat"))
+    return rounded(E.interval(p, p, pooled=True).drop("y", "yhat"))
 
 
 @query("simple_band", with_(TO_NAIVE, f"SELECT series_key, date, {r6('yhat*(1-0.15)', 'lower_bound')}, {r6('yhat*(1+0.15)', 'upper_bound')} FROM naive"))

@@ -128,18 +128,28 @@ def exact_quantiles(df: DataFrame, value: str, probs, parts=None) -> DataFrame:
     return hits.groupBy(F.col("w.p").alias("p")).agg(F.sum(F.col("v") * F.col("w.share")).alias("quantile"))
 
 
-def interval(pred: DataFrame, residuals: DataFrame, level=0.95, by=S.KEY, min_rows=30) -> DataFrame:
-    """Bounds from residual quantiles of the series; series with few residuals take those of all series together."""
+def interval(pred: DataFrame, residuals: DataFrame, level=0.95, by=S.KEY, min_rows=30, pooled=False) -> DataFrame:
+    """Bounds from residual quantiles, and in `bounds` whose they are: `own` of the series or `pooled` of all together.
+
+    A series with fewer than `min_rows` residuals takes the pooled ones, and with `pooled` every series does. The pooled
+    quantiles are worked out only if some series takes them.
+    """
     low, high = (1 - level) / 2, 1 - (1 - level) / 2
     r = residuals.withColumn("_r", F.col("y") - F.col("yhat"))
     own = r.groupBy(*by).agg(
         F.count("*").alias("_n"), F.percentile("_r", F.array(F.lit(low), F.lit(high))).alias("_own")
     )
-    pooled = {row["p"]: row["quantile"] for row in exact_quantiles(r, "_r", [low, high]).collect()}
-    rest = F.array(F.lit(pooled.get(low)).cast("double"), F.lit(pooled.get(high)).cast("double"))
-    chosen = F.when(F.col("_n") >= min_rows, F.col("_own")).otherwise(rest)
-    joined = pred.join(own, list(by), "left").withColumn("_q", chosen)
-    return joined.withColumn("yhat_lower", F.col("yhat") + F.col("_q")[0]).withColumn("yhat_upper", F.col("yhat") + F.col("_q")[1]).drop("_n", "_own", "_q")
+    joined = pred.join(own, list(by), "left")
+    uses_own = F.lit(False) if pooled else F.coalesce(F.col("_n") >= min_rows, F.lit(False))
+    found = {}
+    if pooled or not joined.filter(~uses_own).isEmpty():
+        found = {row["p"]: row["quantile"] for row in exact_quantiles(r, "_r", [low, high]).collect()}
+    rest = F.array(F.lit(found.get(low)).cast("double"), F.lit(found.get(high)).cast("double"))
+    joined = joined.withColumn("_q", F.when(uses_own, F.col("_own")).otherwise(rest))
+    return joined.withColumns({
+        "yhat_lower": F.col("yhat") + F.col("_q")[0], "yhat_upper": F.col("yhat") + F.col("_q")[1],
+        "bounds": F.when(uses_own, "own").otherwise("pooled"),
+    }).drop("_n", "_own", "_q")
 
 
 def simple_band(pred: DataFrame, share=fixed.BAND) -> DataFrame:

@@ -106,14 +106,19 @@ def resolve_keys(clean: DataFrame, dims: dict[str, DataFrame], null_safe_geo=Fal
     geo = dims["geo"].select("geo_id", *[F.col(c).alias(f"g_{c}") for c in GEO_KEY])
     match = [F.col(c).eqNullSafe(F.col(f"g_{c}")) if null_safe_geo else F.col(c) == F.col(f"g_{c}") for c in GEO_KEY]
     time = dims["time"].select("date_id", F.col("full_date").alias("creation_day"))
-    offer = dims["offer"].select("offre_id", F.col("nom_offre").alias("offre"))
-    dealer = dims["dealer"].select("dealer_id_pk", "dealer_id")
+    offer = dims["offer"].select("offre_id", F.col("nom_offre").alias("_offer"))
+    dealer = dims["dealer"].select("dealer_id_pk", F.col("dealer_id").alias("_dealer"))
+
+    def spread_nulls(c):
+        """A null matches nothing; a text of the row's own in its place keeps nulls from meeting in one task."""
+        return F.coalesce(F.col(c), F.concat(F.lit("\0"), F.col("msisdn")))
+
     return (
         clean.join(F.broadcast(time), "creation_day", "left")
-        .join(lookup(offer), "offre", "left")
+        .join(lookup(offer), spread_nulls("offre") == F.col("_offer"), "left")
         .join(lookup(geo), reduce(lambda a, b: a & b, match), "left")
-        .join(lookup(dealer), "dealer_id", "left")
-        .drop(*[f"g_{c}" for c in GEO_KEY])
+        .join(lookup(dealer), spread_nulls("dealer_id") == F.col("_dealer"), "left")
+        .drop(*[f"g_{c}" for c in GEO_KEY], "_offer", "_dealer")
     )
 
 
