@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.catalog.base import FACT, query, rounded, scratch, staged, with_
 from tidemark.catalog.series import (
-    NAIVE, TO_FILLED, TO_NAIVE, clean_rows, filled, flagged, metric_sql, naive, pseudo_forecast, r6,
+    NAIVE, TO_FILLED, TO_NAIVE, clean_rows, filled, flagged, forecast_rows, metric_sql, naive, r6, smooth_sql, FORECAST,
 )
 from tidemark.operators import evaluate as E
 from tidemark.operators import features as X
@@ -16,26 +16,7 @@ from tidemark.session import settle
 from tidemark.sources import tables
 
 
-def _grid_values():
-    rows = []
-    for kind, grid in smoothing.GRIDS.items():
-        rows += [f"('{kind}', {a}, {b}, {g})" for a, b, g in grid]
-    return ", ".join(rows)
-
-
-# The recursion walks all parameter rows of all series day by day.
-_SMOOTH = [f"""
-lst AS (SELECT series_key, list(CAST(nb_abonnements AS DOUBLE) ORDER BY date) AS ys, max(date) AS last_date FROM filled GROUP BY 1)""", f"""
-st AS (SELECT series_key, kind, a, b, g, CASE WHEN kind='Holt-Winters' THEN 7 ELSE 1 END AS t,
-  CASE WHEN kind='Holt-Winters' THEN list_sum(ys[1:7])/7 ELSE ys[1] END AS lev,
-  CASE kind WHEN 'SES' THEN 0.0 WHEN 'Holt' THEN ys[2]-ys[1] ELSE (list_sum(ys[8:14])/7 - list_sum(ys[1:7])/7)/7 END AS tr,
-  CASE WHEN kind='Holt-Winters' THEN list_transform(ys[1:7], lambda v: v - list_sum(ys[1:7])/7) ELSE [0.0::DOUBLE] END AS se, 0.0::DOUBLE AS sse
- FROM lst, (VALUES {_grid_values()}) v(kind, a, b, g)
- UNION ALL
- SELECT s.series_key, kind, a, b, g, t+1, lev+tr+a*(l.ys[t+1]-(lev+tr+se[1])), tr+a*b*(l.ys[t+1]-(lev+tr+se[1])),
-  list_concat(se[2:], [se[1]+g*(1-a)*(l.ys[t+1]-(lev+tr+se[1]))]), sse + (l.ys[t+1]-(lev+tr+se[1]))*(l.ys[t+1]-(lev+tr+se[1]))
- FROM st s JOIN lst l ON l.series_key=s.series_key WHERE t < len(l.ys))""", """
-bestp AS (SELECT * FROM (SELECT st.*, last_date, row_number() OVER (PARTITION BY st.series_key, kind ORDER BY sse, a, b, g) AS rn FROM st JOIN lst l ON l.series_key=st.series_key AND t=len(l.ys)) WHERE rn=1)"""]
+_SMOOTH = smooth_sql(tuple(smoothing.GRIDS))
 
 
 @query("smoothing_fit", with_(TO_FILLED + _SMOOTH, f"""SELECT series_key, kind, CAST(a AS DOUBLE) AS alpha, CAST(b AS DOUBLE) AS beta, CAST(g AS DOUBLE) AS gamma, {r6('lev', 'level')}, {r6('tr', 'trend')}, {r6('sse', 'sse')} FROM bestp"""))
@@ -252,12 +233,11 @@ def latest_result_files(spark, sf):
     return tables.latest_results(spark, root).select("model", "timestamp", "MAE", "RMSE", "sMAPE")
 
 
-@query("forecast_files", with_(TO_FILLED + ["""
-fc AS (SELECT series_key, date, CAST(nb_abonnements AS DOUBLE) AS yhat, CAST(idx - (n-60) + 1 AS INTEGER) AS horizon FROM ind WHERE idx >= n-60)"""], """SELECT 30 AS file, series_key, CAST(date AS DATE) AS date, yhat, horizon FROM fc WHERE horizon<=30
+@query("forecast_files", with_(TO_FILLED + FORECAST, """SELECT 30 AS file, series_key, CAST(date AS DATE) AS date, yhat, horizon FROM fc WHERE horizon<=30
  UNION ALL SELECT 90, series_key, date, yhat, horizon FROM fc"""))
 def forecast_files(spark, sf):
     path = scratch(spark, "forecasts")
-    tables.write_forecast(pseudo_forecast(spark, sf), path)
+    tables.write_forecast(forecast_rows(spark, sf), path)
     out = None
     for n in (30, 90):
         part = spark.read.schema("series_key string, date date, yhat double, horizon int").option("header", True).csv(f"{path}/forecast_{n}d")

@@ -10,7 +10,7 @@ from tidemark.catalog.base import TO_FIRST, query, rounded, staged, star_tables,
 from tidemark.functions import numbers
 from tidemark.operators import evaluate as E
 from tidemark.operators import features as X
-from tidemark.operators import insight, reports, scenario
+from tidemark.operators import insight, reports, scenario, smoothing
 from tidemark.operators import series as S
 
 # ---- check SQL fragments -----------------------------------------------------------------------------------------
@@ -449,33 +449,59 @@ def anomaly_context(spark, sf):
     return reports.day_context(days, t["fact_abonnements"], t["dim_dealer"], t["dim_geo"], t["dim_offer"])
 
 
-# ---- what-if, summaries: the last 60 days of each series stand for a forecast -------------------------------------
+# ---- what-if, summaries: on a forecast of 90 days by seasonal smoothing -------------------------------------------
 
-_LASTF = """
-fc AS (SELECT series_key, date, CAST(nb_abonnements AS DOUBLE) AS yhat, CAST(idx - (n-60) + 1 AS INTEGER) AS horizon FROM ind WHERE idx >= n-60)"""
 _RULES = ", ".join(f"('{n}', {a}, {b}, {m}, {s})" for n, a, b, m, s in fixed.WHAT_IF_RULES)
 
 
-def pseudo_forecast(spark, sf):
-    rows = S.with_index(filled(spark, sf)).filter("idx >= n - 60")
-    return rows.select("series_key", "date", F.col("nb_abonnements").cast("double").alias("yhat"), (F.col("idx") - F.col("n") + 61).cast("int").alias("horizon"))
+def smooth_sql(kinds):
+    """Smoothing of the filled series; the recursion walks all parameter rows of all series day by day."""
+    grid = ", ".join(f"('{k}', {a}, {b}, {g})" for k in kinds for a, b, g in smoothing.GRIDS[k])
+    return [f"""
+lst AS (SELECT series_key, list(CAST(nb_abonnements AS DOUBLE) ORDER BY date) AS ys, max(date) AS last_date FROM filled GROUP BY 1)""", f"""
+st AS (SELECT series_key, kind, a, b, g, CASE WHEN kind='Holt-Winters' THEN 7 ELSE 1 END AS t,
+  CASE WHEN kind='Holt-Winters' THEN list_sum(ys[1:7])/7 ELSE ys[1] END AS lev,
+  CASE kind WHEN 'SES' THEN 0.0 WHEN 'Holt' THEN ys[2]-ys[1] ELSE (list_sum(ys[8:14])/7 - list_sum(ys[1:7])/7)/7 END AS tr,
+  CASE WHEN kind='Holt-Winters' THEN list_transform(ys[1:7], lambda v: v - list_sum(ys[1:7])/7) ELSE [0.0::DOUBLE] END AS se, 0.0::DOUBLE AS sse
+ FROM lst, (VALUES {grid}) v(kind, a, b, g)
+ UNION ALL
+ SELECT s.series_key, kind, a, b, g, t+1, lev+tr+a*(l.ys[t+1]-(lev+tr+se[1])), tr+a*b*(l.ys[t+1]-(lev+tr+se[1])),
+  list_concat(se[2:], [se[1]+g*(1-a)*(l.ys[t+1]-(lev+tr+se[1]))]), sse + (l.ys[t+1]-(lev+tr+se[1]))*(l.ys[t+1]-(lev+tr+se[1]))
+ FROM st s JOIN lst l ON l.series_key=s.series_key WHERE t < len(l.ys))""", """
+bestp AS (SELECT * FROM (SELECT st.*, last_date, row_number() OVER (PARTITION BY st.series_key, kind ORDER BY sse, a, b, g) AS rn FROM st JOIN lst l ON l.series_key=st.series_key AND t=len(l.ys)) WHERE rn=1)"""]
 
 
-@query("what_if", with_(TO_FILLED + [_LASTF], f"""SELECT series_key, scenario, {r6('sum(v)', 'total')}, {r6('sum(v) - sum(yhat)', 'vs_baseline')} FROM (
+FORECAST = smooth_sql(("Holt-Winters",)) + [f"""
+fc AS (SELECT series_key, CAST(last_date + h AS DATE) AS date, {r6('lev + h*tr + se[(h-1)%len(se)+1]', 'yhat')}, h AS horizon
+ FROM bestp, (SELECT CAST(unnest(generate_series(1, 90)) AS INTEGER) AS h))"""]
+
+
+def forecast_rows(spark, sf):
+    """The 90 days after each series, kept as a table between queries."""
+
+    def build(root):
+        rows = smoothing.smooth(filled(spark, sf), "Holt-Winters")
+        rounded(rows).select("series_key", "date", "yhat", "horizon").write.parquet(root)
+        return spark.read.parquet(root)
+
+    return staged(spark, sf, "forecast", build)
+
+
+@query("what_if", with_(TO_FILLED + FORECAST, f"""SELECT series_key, scenario, {r6('sum(v)', 'total')}, {r6('sum(v) - sum(yhat)', 'vs_baseline')} FROM (
  SELECT series_key, r.scenario, yhat, CASE WHEN horizon BETWEEN r.a AND r.b THEN yhat*r.m + r.s ELSE yhat END AS v FROM fc, (VALUES {_RULES}) r(scenario, a, b, m, s) WHERE horizon <= 30) GROUP BY 1, 2"""))
 def what_if(spark, sf):
-    return rounded(insight.what_if_totals(insight.what_if(pseudo_forecast(spark, sf))))
+    return rounded(insight.what_if_totals(insight.what_if(forecast_rows(spark, sf))))
 
 
-@query("forecast_summary", with_(TO_FILLED + [_LASTF], """SELECT series_key, count(*) AS total_days, round(sum(yhat), 2) AS total_subscriptions, round(avg(yhat), 2) AS avg_daily, round(min(yhat), 2) AS min_daily,
+@query("forecast_summary", with_(TO_FILLED + FORECAST, """SELECT series_key, count(*) AS total_days, round(sum(yhat), 2) AS total_subscriptions, round(avg(yhat), 2) AS avg_daily, round(min(yhat), 2) AS min_daily,
  round(max(yhat), 2) AS max_daily, min(date) AS start_date, max(date) AS end_date FROM fc GROUP BY 1"""))
 def forecast_summary(spark, sf):
-    return insight.forecast_summary(pseudo_forecast(spark, sf))
+    return insight.forecast_summary(forecast_rows(spark, sf))
 
 
-@query("monthly_totals", with_(TO_FILLED + [_LASTF], "SELECT series_key, CAST(date_trunc('month', date) AS DATE) AS month, round(sum(yhat), 2) AS total, count(*) AS days FROM fc GROUP BY 1, 2"))
+@query("monthly_totals", with_(TO_FILLED + FORECAST, "SELECT series_key, CAST(date_trunc('month', date) AS DATE) AS month, round(sum(yhat), 2) AS total, count(*) AS days FROM fc GROUP BY 1, 2"))
 def monthly_totals(spark, sf):
-    return insight.monthly_totals(pseudo_forecast(spark, sf))
+    return insight.monthly_totals(forecast_rows(spark, sf))
 
 
 @query("request_days", with_(TO_FIRST, """SELECT msisdn, CAST(unnest(generate_series(creation_day, CAST(creation_day + INTERVAL 2 MONTH AS DATE) - 1, INTERVAL 1 DAY)) AS DATE) AS date FROM firsts"""))
@@ -484,9 +510,9 @@ def request_days(spark, sf):
     return insight.request_days(rows).select("msisdn", "date")
 
 
-@query("horizon_heads", with_(TO_FILLED + [_LASTF], "SELECT series_key, horizon, date, yhat FROM fc WHERE horizon <= 30"))
+@query("horizon_heads", with_(TO_FILLED + FORECAST, "SELECT series_key, horizon, date, yhat FROM fc WHERE horizon <= 30"))
 def horizon_heads(spark, sf):
-    return pseudo_forecast(spark, sf).filter(F.col("horizon") <= fixed.SHORT_HORIZON).select("series_key", "horizon", "date", "yhat")
+    return forecast_rows(spark, sf).filter(F.col("horizon") <= fixed.SHORT_HORIZON).select("series_key", "horizon", "date", "yhat")
 
 
 @query("month_span", with_(TO_FILLED, "SELECT series_key, CAST(min(date) + INTERVAL 5 MONTH AS DATE) AS period_end, strftime(min(date), '%B %Y') AS period_start FROM filled GROUP BY 1"))
