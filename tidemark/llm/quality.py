@@ -122,7 +122,9 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
         "score", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0))
     ).withColumn("n_repeat_words", _repeated_words(F.col("n"))).withColumn("n_words", F.col("n").cast("bigint"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    made = made.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    # A filter on `kept` stops above the row number: below it, it would work out all that `kept` stands on once more.
+    made = made.withColumn("base_failed", failed).withColumn("number", F.monotonically_increasing_id())
+    made = made.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & (F.col("number") >= 0))
     return made.select(*([F.col("row.*")] if keep else []), *ours)
 
 

@@ -12,8 +12,8 @@ from tidemark.session import prepare, shared_dir
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules. Labels name the trusted ones; counts cover all documents that came in."""
     ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = quality.score(docs.withColumn("_row", F.struct(*docs.columns)), ratios)
-    return judged.filter("kept").select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return quality.score(rows, ratios).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
