@@ -271,14 +271,26 @@ def autocorrelation(spark, sf):
     return rounded(S.slice_correlation(filled(spark, sf), 7, value="nb_abonnements"))
 
 
-@query("acf", with_(TO_FILLED, f""", cen AS (SELECT series_key, idx, nb_abonnements - avg(nb_abonnements) OVER (PARTITION BY series_key) AS c FROM ind)
-SELECT a.series_key, CAST(k.lag AS INTEGER) AS lag, {r6('sum(a.c*b.c) / any_value(v.s)', 'acf')} FROM cen a, (SELECT unnest(generate_series(0, 40)) AS lag) k, cen b,
- (SELECT series_key, sum(c*c) AS s FROM cen GROUP BY 1) v WHERE a.series_key=b.series_key AND v.series_key=a.series_key AND b.idx = a.idx + k.lag GROUP BY 1, 2""".strip()))
+_ACF = """
+cen AS (SELECT series_key, idx, nb_abonnements - avg(nb_abonnements) OVER (PARTITION BY series_key) AS c FROM ind),
+ac AS (SELECT a.series_key, CAST(k.lag AS INTEGER) AS lag, sum(a.c*b.c) / any_value(v.s) AS acf FROM cen a, (SELECT unnest(generate_series(0, 40)) AS lag) k, cen b,
+ (SELECT series_key, sum(c*c) AS s FROM cen GROUP BY 1) v WHERE a.series_key=b.series_key AND v.series_key=a.series_key AND b.idx = a.idx + k.lag GROUP BY 1, 2)"""
+# Durbin-Levinson: phi holds the weights of order k, r the autocorrelations from lag 0.
+_PACF = """
+rho AS (SELECT series_key, list(acf ORDER BY lag) AS r FROM ac GROUP BY 1 HAVING count(*) > 1),
+pc AS (SELECT series_key, r, 1 AS k, [r[2]] AS phi, r[2] AS last FROM rho
+ UNION ALL SELECT series_key, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - l*phi[k+1-j]), [l]), l FROM (
+  SELECT *, (r[k+2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j]*r[k+2-j])))
+   / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j]*r[j+1]))) AS l FROM pc WHERE k + 1 < len(r)))"""
+
+
+@query("acf", with_(TO_FILLED + [_ACF], f"SELECT series_key, lag, {r6('acf', 'acf')} FROM ac"))
 def acf(spark, sf):
     return rounded(S.acf(filled(spark, sf)))
 
 
-@query("pacf")
+@query("pacf", with_(TO_FILLED + [_ACF, _PACF], f"""SELECT series_key, 0 AS lag, 1.0::DOUBLE AS pacf FROM rho
+ UNION ALL SELECT series_key, k, {r6('last', 'pacf')} FROM pc"""))
 def pacf(spark, sf):
     return rounded(S.pacf(S.acf(filled(spark, sf))))
 
