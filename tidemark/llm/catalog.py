@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ans, itq, minhash, mixing, packing, quality, sharding, spans, stages, toxicity, urls
-from tidemark.session import prepare, settle, shared_dir
+from tidemark.session import settle, shared_dir
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(stages.ready(spark), sf_dir)
 
         QUERIES[name] = run
         if sql:

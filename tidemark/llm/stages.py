@@ -1,5 +1,6 @@
 """Stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and, but for the last, returns the columns of docs."""
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,25 @@ from tidemark.llm import minhash, mixing, packing, quality, spans
 from tidemark.session import prepare, shared_dir
 
 
+#: Rows of an Arrow batch at most: whole texts are long, and a worker holds several copies of a batch.
+BATCH_ROWS = 1_000
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings and small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return prepare(spark)
+
+
+def stage(function):
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(ready(spark), docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules. Labels name the trusted ones; counts cover all documents that came in."""
     ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -16,6 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(rows, ratios).filter("kept").select("row.*")
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
@@ -26,6 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+@stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text."""
     made = spans.without_repeats(docs, removed="_removed")
@@ -53,12 +75,14 @@ def mix_levels() -> dict:
 MIX_WEIGHTS = {(f"domain{d}", lang): w for d in range(4) for lang, w in (("en", 5.0), ("de", 2.0), ("fr", 2.0), ("es", 1.0))}
 
 
+@stage
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen so that tokens follow the target weights, each once at most; the budget is nine tenths of the tokens."""
     mixed = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1)
     return mixed.select(*docs.columns)
 
 
+@stage
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens, with their ids."""
     return packing.pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end=1)
@@ -71,10 +95,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str, stages=STAGES) -> DataFrame:
-    prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(stages):
-        docs = stage(spark, docs, sf_dir)
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, function) in enumerate(stages):
+        docs = function(spark, docs, sf_dir)
         if k < len(stages) - 1:
             path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
             docs.write.parquet(path)

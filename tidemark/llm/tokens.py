@@ -9,7 +9,7 @@ import pyarrow as pa
 from tidemark.llm import words
 
 #: Parts of words that a worker keeps at most, 28 bytes each, and ids of parts after which it starts afresh.
-PLACES, CACHED = 1 << 21, 1 << 24
+PLACES, CACHED = 1 << 20, 1 << 22
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
