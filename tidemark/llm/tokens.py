@@ -9,7 +9,7 @@ import pyarrow as pa
 from tidemark.llm import words
 
 #: Parts of words that a worker keeps at most, 28 bytes each, and ids of parts after which it starts afresh.
-PLACES, CACHED = 1 << 20, 1 << 22
+PLACES, CACHED = 1 << 21, 1 << 23
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
@@ -25,8 +25,9 @@ class WordEncoder:
 
     For such a tokenizer a text's ids are those of its words, one after another, and a word's are those of its body and
     of the ASCII punctuation after it where the body ends in a letter or digit; a part of ASCII letters is one word of its
-    model. Only distinct parts go through the tokenizer. Texts in which a special token may occur (`<|`) are encoded whole. Parts are told apart by two hashes of
-    64 bits; if ever one of them is equal for different parts, the texts at hand are encoded whole too.
+    model. Only distinct parts go through the tokenizer. Texts in which a special token may occur (`<|`) are encoded whole. Parts are told apart by a hash of
+    64 bits and a sum of 64-bit values of their bytes; if parts of one hash differ in the sum, the texts at hand are encoded
+    whole too.
     """
 
     def __init__(self, path: str):
@@ -52,7 +53,7 @@ class WordEncoder:
             self.clear()
         n = len(offsets) - 1
         starts, ends, doc = _parts(*words.spans(data, offsets), data)
-        keys, checks = (words.span_hashes(data, starts, ends, lower=True, which=k) for k in (0, 1))
+        keys, checks = words.span_hashes(data, starts, ends, lower=True), words.span_sums(data, starts, ends, lower=True)
         begin, counts = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
         new = np.arange(len(keys))
         for shift in (0, 32):

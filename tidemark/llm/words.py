@@ -96,6 +96,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """Sum of a random 64-bit value for each byte of a span, whatever their order."""
+    table = _KEYS[1][0]
+    if lower:
+        table = table.copy()
+        table[65:91] = table[97:123]
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data], out=total[1:])
+    return total[ends] - total[starts]
+
+
 def windows(hashes: np.ndarray, doc: np.ndarray, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` words, document after document, and the offset of each document's runs.
 
