@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import itq, minhash, spans
+from tidemark.llm.catalog import QUERIES
 from tidemark.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,6 +156,46 @@ def test_spans_of_repeated_and_missing_keys(spark):
     assert spans.without_repeats(df.limit(0)).count() == 0
 
 
+def without_whole(docs):
+    """As `without`, with runs that go on until they have three sentences and fifteen words."""
+    first, out = {}, []
+    for key, text in docs:
+        s = sentences(text)
+        gone = set()
+        for i in range(len(s)):
+            for j in range(i + spans.RUN, len(s) + 1):
+                w = tuple(m.group() for x in s[i:j] for m in x)
+                if len(w) >= spans.LEAST:
+                    if first.setdefault(w, (key, i)) != (key, i):
+                        gone |= set(range(i, j))
+                    break
+        edges = [0, *(x[0].start() for x in s[1:]), len(text)]
+        out.append((key, "".join(text[edges[i]:edges[i + 1]] for i in range(len(s)) if i not in gone) if gone else text, len(gone)))
+    return out
+
+
+def test_passages_of_short_sentences(spark):
+    rng = random.Random(5)
+    poem = "\n".join(" ".join(f"v{rng.randrange(90)}" for _ in range(rng.randint(1, 4))) for _ in range(40))
+    shout = " ".join(f"BUY{i}!!" for i in range(60))
+
+    def own(n):
+        return " ".join(f"o{rng.randrange(10**6)}." for _ in range(n))
+
+    docs = [own(30) + "\n" + passage + "\n" + own(30) for passage in (poem, shout, poem, shout, "")]
+    docs += ["one. two. three.", "a b. " * 7, "Go. " * 100, "Go. " * 14]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in spans.without_repeats(df.repartition(3), whole=True).collect())
+    assert got == without_whole(list(enumerate(docs)))
+    assert [r[2] for r in got[:6]] == [0, 0, 40, 60, 0, 0]
+
+
+def test_query_takes_passages_of_short_lines(spark, tmp_path):
+    menu = "\n".join(f"dish{i} price{i}" for i in range(40))
+    spark.createDataFrame([(1, menu), (2, "Other head words here.\n" + menu)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in QUERIES["op6_sentence_spans"](spark, str(tmp_path)).orderBy("doc_id").select("doc_id", "n_removed").collect()] == [(1, 0), (2, 40)]
+
+
 def linked(vectors, cosine=0.95):
     v = [np.array(x, np.float64) if x and all(c is not None and np.isfinite(c) for c in x) and any(x) else None for x in vectors]
     links = []

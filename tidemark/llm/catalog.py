@@ -72,7 +72,7 @@ def op4(spark, sf_dir):
 
 @query("op6_sentence_spans")
 def op6(spark, sf_dir):
-    return spans.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
 
 
 @query("op5_itq_hamming", """

@@ -14,18 +14,19 @@ _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray):
+def _runs(data: np.ndarray, offsets: np.ndarray, whole: bool = False):
     """Sentences and spans of many texts.
 
     Gives the first byte and the document of each sentence, and for each span its document, its first sentence's number
-    in the document and two hashes of its words. A sentence ends with a word that ends in `.`, `!` or `?`, at a line end,
-    and after every `CUT` words.
+    in the document, its number of sentences and two hashes of its words. A sentence ends with a word that ends in `.`,
+    `!` or `?`, at a line end, and after every `CUT` words. A span is `RUN` sentences, dropped if they hold fewer than
+    `LEAST` words; with `whole` it takes further sentences until it has `LEAST` words.
     """
     starts, ends, doc = words.spans(data, offsets)
     n = len(starts)
     if not n:
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none, none.view(np.uint64), none.view(np.uint64)
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     new = np.ones(n, bool)
     new[1:] = (doc[1:] != doc[:-1]) | _END[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
@@ -36,10 +37,13 @@ def _runs(data: np.ndarray, offsets: np.ndarray):
     m = len(first) - RUN + 1
     if m <= 0:
         none = np.zeros(0, np.int64)
-        return starts[first], of, none, none, none.view(np.uint64), none.view(np.uint64)
+        return starts[first], of, none, none, none, none.view(np.uint64), none.view(np.uint64)
     stop = np.append(first[1:], n)
-    low, high = first[:m], stop[RUN - 1:]
-    good = np.flatnonzero((of[:m] == of[RUN - 1:]) & (high - low >= LEAST))
+    low, last = first[:m], np.arange(RUN - 1, len(first))
+    if whole:
+        last = np.minimum(np.maximum(last, np.searchsorted(stop, low + LEAST)), len(first) - 1)
+    high = stop[last]
+    good = np.flatnonzero((of[:m] == of[last]) & (high - low >= LEAST))
     hashes = []
     for which in (0, 1):
         up, down = words._powers(which, n + 1)
@@ -47,15 +51,15 @@ def _runs(data: np.ndarray, offsets: np.ndarray):
         length = (high - low)[good].astype(np.uint64)
         hashes.append(words.mix((total[high[good]] - total[low[good]]) * down[low[good]] + length))
     number = np.arange(len(first)) - np.searchsorted(of, of, "left")
-    return starts[first], of, of[good], number[good], hashes[0], hashes[1]
+    return starts[first], of, of[good], number[good], (last - np.arange(m) + 1)[good], hashes[0], hashes[1]
 
 
-def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def spans(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(key, at, h1, h2): every span of rows with a key; `at` is the number of its first sentence."""
     def made(batches):
         for batch in batches:
             for part, data, offsets in words.pieces(batch, "text"):
-                _, _, of, at, h1, h2 = _runs(data, offsets)
+                _, _, of, at, _, h1, h2 = _runs(data, offsets, whole)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key").take(pa.array(of)), pa.array(at.astype(np.int32)), pa.array(h1.view(np.int64)),
                      pa.array(h2.view(np.int64))], names=["key", "at", "h1", "h2"],
@@ -65,9 +69,9 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return rows.mapInArrow(made, f"key {dict(df.dtypes)[key]}, at int, h1 bigint, h2 bigint")
 
 
-def later_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def later_spans(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(key, later): per document its spans, as (at, h1), that occurred before, in the order of key and place."""
-    found = spans(df, key, text)
+    found = spans(df, key, text, whole)
     repeated = found.groupBy("h1").agg(F.count("*").alias("c")).filter("c > 1").select("h1")
     again = found.join(repeated, "h1")
     first = again.groupBy("h1", "h2").agg(F.min(F.struct("key", "at")).alias("first"), F.count("*").alias("c")).filter("c > 1")
@@ -75,7 +79,7 @@ def later_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return later.groupBy("key").agg(F.collect_set(F.struct("at", "h1")).alias("later"))
 
 
-def _without(text: pa.Array, ats: pa.Array, hashes: pa.Array) -> pa.Array:
+def _without(text: pa.Array, ats: pa.Array, hashes: pa.Array, whole: bool = False) -> pa.Array:
     """Texts without the sentences of the listed spans, with the number of sentences before and of those removed."""
     out, before, removed = [], [], []
     data, offsets = words.buffers(text)
@@ -84,15 +88,16 @@ def _without(text: pa.Array, ats: pa.Array, hashes: pa.Array) -> pa.Array:
             out.append(None), before.append(0), removed.append(0)
             continue
         own = data[offsets[i]:offsets[i + 1]]
-        begins, _, _, at, h1, _ = _runs(own, np.array([0, len(own)]))
+        begins, _, _, at, size, h1, _ = _runs(own, np.array([0, len(own)]), whole)
         listed = np.array(ats[i].as_py(), np.int64)
         place = np.searchsorted(at, listed)
         ok = (place < len(at))
         ok[ok] = at[place[ok]] == listed[ok]
         ok[ok] = h1.view(np.int64)[place[ok]] == np.array(hashes[i].as_py(), np.int64)[ok]
-        gone = np.zeros(len(begins), bool)
-        for k in range(RUN):
-            gone[listed[ok] + k] = True
+        covered = np.zeros(len(begins) + 1, np.int64)
+        np.add.at(covered, listed[ok], 1)
+        np.add.at(covered, listed[ok] + size[place[ok]], -1)
+        gone = np.cumsum(covered)[:-1] > 0
         edges = np.concatenate([[0], begins[1:], [len(own)]])
         keep = np.repeat(~gone, np.diff(edges)) if len(begins) else np.ones(len(own), bool)
         out.append(own[keep].tobytes().decode(errors="replace")), before.append(len(begins)), removed.append(int(gone.sum()))
@@ -101,10 +106,13 @@ def _without(text: pa.Array, ats: pa.Array, hashes: pa.Array) -> pa.Array:
     )
 
 
-def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "n_removed") -> DataFrame:
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "n_removed",
+                    whole: bool = False) -> DataFrame:
     """Every row with the sentences taken out of its text that lie in a span that occurred before; `removed` counts them.
 
     A span is a run of three consecutive sentences with at least fifteen words; white space between words does not count.
+    With `whole`, which the queries use, three short sentences are no reason to drop a run: it takes as many further
+    sentences as it needs to have fifteen words, so passages of short lines are found too.
     The first occurrence, by key and then by place in the text, stays whole; so does every text without a repeated span,
     byte for byte. A sentence goes with the white space after it. Null and empty texts stay as they are, and rows with a
     null key neither lose text nor count as occurrences. Rows that repeat a key with the same text are one document and
@@ -114,8 +122,11 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", remo
     Spans are counted by one hash of 64 bits and matched by two. Counts and minima combine before they shuffle, and joins
     are on hashes alone, so one very common span is split by adaptive execution.
     """
-    cut = F.arrow_udf(_without, "text string, before bigint, removed bigint")
-    later = later_spans(df.select(key, text), key, text).select(F.col("key").alias("of"), "later")
+    def without(text: pa.Array, ats: pa.Array, hashes: pa.Array) -> pa.Array:
+        return _without(text, ats, hashes, whole)
+
+    cut = F.arrow_udf(without, "text string, before bigint, removed bigint")
+    later = later_spans(df.select(key, text), key, text, whole).select(F.col("key").alias("of"), "later")
     columns = [c for c in df.columns if c.lower() != removed.lower()]
     # All columns of the input in one, so that none meets a name of ours.
     rows = df.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in columns]).alias("row"), F.col(key).alias("own"), F.col(text).alias("old"))

@@ -50,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text."""
-    made = spans.without_repeats(docs, removed="_removed")
+    made = spans.without_repeats(docs, removed="_removed", whole=True)
     made = made.filter((F.col("_removed") == 0) | F.rlike("text", F.lit("[^\\x20\\x09-\\x0D]"))).drop("_removed")
     if "n_chars" in docs.columns:
         length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
