@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import itq, minhash, spans
+from tidemark.llm import itq, minhash, spans, words
 from tidemark.llm.catalog import QUERIES
 from tidemark.llm.graph import components
 
@@ -156,11 +156,37 @@ def test_spans_of_repeated_and_missing_keys(spark):
     assert spans.without_repeats(df.limit(0)).count() == 0
 
 
+def pieces(text):
+    """Sentences of whole=True: as the words say, by the least hash of any CUT places in a row."""
+    found = list(WORD.finditer(text))
+    new = [j == 0 or found[j - 1].group()[-1] in ".!?" or "\n" in text[found[j - 1].end():found[j].start()] for j in range(len(found))]
+    h = word_hashes(text)
+    value = [0] + [int(words.mix(np.array([x], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.array([y], np.uint64))[0]) | 1 for x, y in zip(h, h[1:])]
+    cut = set()
+    for i in range(len(found) - spans.CUT + 1):
+        if not any(new[i:i + spans.CUT]):
+            least = min(value[i:i + spans.CUT])
+            cut |= {j for j in range(i, i + spans.CUT) if value[j] == least}
+    out = []
+    for j, m in enumerate(found):
+        if new[j] or j in cut:
+            out.append([])
+        out[-1].append(m)
+    assert all(len(x) <= spans.CUT for x in out)
+    return out
+
+
+def word_hashes(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, _ = words.spans(data, np.array([0, len(data)]))
+    return words.span_hashes(data, starts, ends, False).tolist()
+
+
 def without_whole(docs):
-    """As `without`, with runs that go on until they have three sentences and fifteen words."""
+    """As `without`, with such sentences and runs that go on until they have three sentences and fifteen words."""
     first, out = {}, []
     for key, text in docs:
-        s = sentences(text)
+        s = pieces(text)
         gone = set()
         for i in range(len(s)):
             for j in range(i + spans.RUN, len(s) + 1):
@@ -190,6 +216,29 @@ def test_passages_of_short_sentences(spark):
     assert [r[2] for r in got[:6]] == [0, 0, 40, 60, 0, 0]
 
 
+def test_passages_amid_a_sentence(spark):
+    """Passages without a mark, of 49 words and more, after any number of words of the same sentence."""
+    rng = random.Random(7)
+
+    def plain(n):
+        return " ".join(f"m{rng.randrange(10**6)}" for _ in range(n))
+
+    docs, of = [], []
+    for n in (49, 50, 55, 60, 120):
+        for _ in range(12):
+            passage = plain(n)
+            for _ in range(2):
+                docs.append(plain(rng.randint(1, 30)) + " " + passage + " " + plain(rng.randint(1, 30)))
+                of.append(n)
+    docs += ["x " * 300, plain(5_000), plain(12), plain(13)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in spans.without_repeats(df.repartition(3), whole=True).collect())
+    assert got == without_whole(list(enumerate(docs)))
+    for i, n in enumerate(of):
+        lost = len(docs[i].split()) - len(got[i][1].split())
+        assert lost == 0 if i % 2 == 0 else n - 2 * spans.CUT <= lost <= n
+
+
 def test_query_takes_passages_of_short_lines(spark, tmp_path):
     menu = "\n".join(f"dish{i} price{i}" for i in range(40))
     spark.createDataFrame([(1, menu), (2, "Other head words here.\n" + menu)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")

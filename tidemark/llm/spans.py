@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
+from tidemark.session import settle
 
 #: Sentences of a span, words after which a longer sentence is cut, and words a span must have.
 RUN, CUT, LEAST = 3, 12, 15
@@ -14,13 +15,40 @@ _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
 
 
+def _slid(x: np.ndarray, least) -> np.ndarray:
+    """Value of `least` (np.minimum or np.maximum) over each `CUT` neighbours of x."""
+    n, size = len(x) - CUT + 1, 1
+    while 2 * size <= CUT:
+        x = least(x[:-size], x[size:])
+        size *= 2
+    return least(x[:n], x[CUT - size:CUT - size + n])
+
+
+def _cuts(hashes: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    """Whether a sentence is cut before each word, from the words' hashes and the first word of each word's sentence.
+
+    Of every `CUT` places in a row inside a sentence, the one whose two neighbouring words have the least hash is a cut.
+    So parts have at most `CUT` words, and cuts depend on nothing but the words up to `CUT` places around them.
+    """
+    cut = np.zeros(len(hashes), bool)
+    if len(hashes) <= CUT:
+        return cut
+    value = np.zeros(len(hashes), np.uint64)
+    value[1:] = words.mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) | np.uint64(1)
+    inside = (begun[CUT - 1:] == begun[:1 - CUT]) & (begun[:1 - CUT] < np.arange(len(hashes) - CUT + 1))
+    found = np.zeros(len(hashes) + CUT - 1, np.uint64)
+    found[CUT - 1:len(hashes)] = np.where(inside, _slid(value, np.minimum), np.uint64(0))
+    return value == np.maximum(_slid(found, np.maximum), 1).astype(np.uint64)
+
+
 def _runs(data: np.ndarray, offsets: np.ndarray, whole: bool = False):
     """Sentences and spans of many texts.
 
     Gives the first byte and the document of each sentence, and for each span its document, its first sentence's number
     in the document, its number of sentences and two hashes of its words. A sentence ends with a word that ends in `.`,
     `!` or `?`, at a line end, and after every `CUT` words. A span is `RUN` sentences, dropped if they hold fewer than
-    `LEAST` words; with `whole` it takes further sentences until it has `LEAST` words.
+    `LEAST` words; with `whole` it takes further sentences until it has `LEAST` words, and long sentences are cut where
+    their words say so (`_cuts`).
     """
     starts, ends, doc = words.spans(data, offsets)
     n = len(starts)
@@ -32,7 +60,8 @@ def _runs(data: np.ndarray, offsets: np.ndarray, whole: bool = False):
     new[1:] = (doc[1:] != doc[:-1]) | _END[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
     at = np.arange(n)
     begun = np.maximum.accumulate(np.where(new, at, 0))
-    first = np.flatnonzero((at - begun) % CUT == 0)  # first word of each sentence
+    each = [words.span_hashes(data, starts, ends, False, which) for which in (0, 1)]
+    first = np.flatnonzero(new | _cuts(each[0], begun) if whole else (at - begun) % CUT == 0)  # first word of each sentence
     of = doc[first]
     m = len(first) - RUN + 1
     if m <= 0:
@@ -47,7 +76,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, whole: bool = False):
     hashes = []
     for which in (0, 1):
         up, down = words._powers(which, n + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.span_hashes(data, starts, ends, False, which) * up[:n])])
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(each[which] * up[:n])])
         length = (high - low)[good].astype(np.uint64)
         hashes.append(words.mix((total[high[good]] - total[low[good]]) * down[low[good]] + length))
     number = np.arange(len(first)) - np.searchsorted(of, of, "left")
@@ -72,10 +101,9 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool =
 def later_spans(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(key, later): per document its spans, as (at, h1), that occurred before, in the order of key and place."""
     found = spans(df, key, text, whole)
-    repeated = found.groupBy("h1").agg(F.count("*").alias("c")).filter("c > 1").select("h1")
-    again = found.join(repeated, "h1")
-    first = again.groupBy("h1", "h2").agg(F.min(F.struct("key", "at")).alias("first"), F.count("*").alias("c")).filter("c > 1")
-    later = again.join(first, ["h1", "h2"]).filter(F.struct("key", "at") != F.col("first"))
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("key", "at")).alias("first"), F.count("*").alias("c")).filter("c > 1")
+    first = settle(first.select("h1", "h2", "first"))  # so that a hot span can be split below
+    later = found.join(first, ["h1", "h2"]).filter(F.struct("key", "at") != F.col("first"))
     return later.groupBy("key").agg(F.collect_set(F.struct("at", "h1")).alias("later"))
 
 
@@ -112,15 +140,17 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", remo
 
     A span is a run of three consecutive sentences with at least fifteen words; white space between words does not count.
     With `whole`, which the queries use, three short sentences are no reason to drop a run: it takes as many further
-    sentences as it needs to have fifteen words, so passages of short lines are found too.
+    sentences as it needs to have fifteen words, so passages of short lines are found too. Sentences over twelve words are
+    then cut where their words say so and not by counting from their start, so that passages of 49 words and more have a
+    span in common whatever stands before them.
     The first occurrence, by key and then by place in the text, stays whole; so does every text without a repeated span,
     byte for byte. A sentence goes with the white space after it. Null and empty texts stay as they are, and rows with a
     null key neither lose text nor count as occurrences. Rows that repeat a key with the same text are one document and
     keep the same; with different texts each loses only spans it really has. Columns besides `text` pass through, one named
     like `removed` is replaced. An empty table gives no rows.
 
-    Spans are counted by one hash of 64 bits and matched by two. Counts and minima combine before they shuffle, and joins
-    are on hashes alone, so one very common span is split by adaptive execution.
+    Spans are counted and matched by two hashes of 64 bits. Counts and minima combine before they shuffle, the repeated
+    ones are written as a table, and the join is on hashes alone, so one very common span is split by adaptive execution.
     """
     def without(text: pa.Array, ats: pa.Array, hashes: pa.Array) -> pa.Array:
         return _without(text, ats, hashes, whole)
