@@ -293,6 +293,19 @@ def test_vector_recall_by_cosine(spark):
     assert got >= 0.9 * len(both)
 
 
+@pytest.mark.parametrize("rows", [1 << 20, 1 << 25, 1 << 27])
+def test_recall_of_the_tables_of_every_size(spark, rows):
+    """Codes with independent bits, of pairs at cosine 0.951."""
+    rng = np.random.default_rng(11)
+    x, z = rng.normal(size=(2, 1_000, 64))
+    y = 0.951 * x + np.sqrt(1 - 0.951**2) * z
+    codes = ((np.concatenate([x, y]) >= 0) * (np.uint64(1) << np.arange(64, dtype=np.uint64))).sum(1, dtype=np.uint64).view(np.int64)
+    coded = spark.createDataFrame([(i, int(c)) for i, c in enumerate(codes)], "rep long, code long")
+    found = itq.candidates(coded, rows).collect()
+    assert len(found) == len(set(found))
+    assert sum(r.b - r.a == 1_000 for r in found) >= 0.9 * 1_000
+
+
 def test_vectors_without_keys_or_rows(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0])], "vec_id long, embedding array<double>")
     got = sorted([tuple(r) for r in itq.near_duplicates(df).collect()], key=str)

@@ -31,8 +31,11 @@ def learn(x: np.ndarray, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.nda
 
 def tables(rows: int) -> tuple[int, int, int]:
     """(tables, bits of a substring, radius): substrings about as long as the logarithm of the number of rows, so that
-    buckets stay small, and a radius at which every pair of codes that differ in up to 7 places meets in some table."""
-    width = next((w for w in (16, 21, 32) if rows <= 1 << (w + 4)), 32)
+    buckets stay small, and a radius at which every pair of codes that differ in up to 7 places meets in some table.
+
+    Beyond that, three tables of 21 bits find 0.957 of the pairs at cosine 0.951, where two of 32 bits would find 0.84 and
+    need sixteen times the probes; so they serve every larger number of rows, with more rows in a bucket."""
+    width = 16 if rows <= 1 << 20 else 21
     count = BITS // width
     return count, width, -(-8 // count) - 1
 
