@@ -80,6 +80,22 @@ def test_score_is_the_mean_log_ratio(spark, sf):
         assert got[r.doc_id].kept == (not base(r.text)[-1] and got[r.doc_id].score >= quality.THRESHOLD)
 
 
+def test_buckets_grow_and_a_table_of_ratios_scores_as_the_list(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.limit(20)).unionAll(spark.createDataFrame([(None, None), (-1, ""), (-2, "one")], docs.schema))
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    table = quality.fit(docs, labels, buckets=1 << 8)
+    grams = sum(len(list(WORD.finditer(r.text or ""))) * 2 - bool(WORD.search(r.text or "")) for r in docs.collect())
+    assert table.buckets // 2 * quality.LOAD < grams <= table.buckets * quality.LOAD
+    ratios = [0.0] * table.buckets
+    for r in table.table.collect():
+        ratios[r.bucket] = r.ratio
+    want, got = (sorted(map(tuple, quality.score(docs, x).collect()), key=lambda r: (str(r[0]), r[1] or "")) for x in (ratios, table))
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:-2] == b[:-2] and a[-1] == b[-1] and a[-2] == pytest.approx(b[-2], abs=1e-9)
+
+
 def test_quality_without_labels_rows_or_names_of_its_own(spark):
     docs = spark.createDataFrame(
         [(None, "a b c d e f g h i j k", 1, 2.0), (3, "a b c d e f g h i j k", 4, 5.0), (3, "a b c d e f g h i j k", 4, 5.0)],

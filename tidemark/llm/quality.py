@@ -1,23 +1,33 @@
 """Quality rules: base counts of a text, and a hashed n-gram likelihood ratio between trusted and raw documents."""
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import lookup, settle
+
 #: White space of the word rule, as a Java character class.
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 5
-#: Hash buckets of the multinomials, pseudo-count that draws a bucket's ratio to one, and smallest score that is kept.
+#: Hash buckets of the multinomials at least, pseudo-count that draws a bucket's ratio to one, and smallest score that is kept.
 BUCKETS = 1 << 16
+#: N-grams to a bucket, at most, on average.
+LOAD = 8
 PRIOR = 5.0
 THRESHOLD = -0.2
-#: Labelled documents, at most, that the target multinomial is made of; 2 MB of ids.
-TRUSTED = 100_000
 MIN_WORDS = 10
 MAX_REPEATED = 20
 
 
+class Ratios(NamedTuple):
+    """A table (bucket, ratio) of log ratios, and the number of buckets, which is a power of two."""
+
+    buckets: int
+    table: DataFrame
+
+
 def _text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -48,7 +58,7 @@ def ngram_counts(df: DataFrame, trusted: Column, text: str = "text", buckets: in
     """(bucket, raw, target): n-grams of all rows, and of the rows for which `trusted` holds, by hash bucket."""
     hashed = df.select(F.coalesce(trusted, F.lit(False)).alias("t"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
     grams = hashed.select("t", F.explode(F.concat("h", _pairs(F.col("h")))).alias("g"))
-    return grams.groupBy(F.col("g").bitwiseAND(buckets - 1).cast("int").alias("bucket")).agg(
+    return grams.groupBy(F.col("g").bitwiseAND(F.lit(buckets - 1).cast("bigint")).alias("bucket")).agg(
         F.count("*").alias("raw"), F.sum(F.col("t").cast("bigint")).alias("target")
     )
 
@@ -67,6 +77,24 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR)
     return out
 
 
+def ratio_table(counts: DataFrame, prior: float = PRIOR) -> DataFrame:
+    """(bucket, ratio): what `log_ratios` gives, as a table."""
+    counts = settle(counts)
+    all_ = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    share = all_.target / all_.raw if all_.raw else 0.0
+    ratio = F.log((F.col("target") + prior) / (F.col("raw") * share + prior)) if share else F.lit(0.0)
+    return settle(counts.select("bucket", ratio.alias("ratio")))
+
+
+def _scores(df: DataFrame, ratios: Ratios, text: str) -> DataFrame:
+    """(digest, mean): the mean log ratio of each text's n-grams, by a 64-bit hash of the text; equal texts have equal means."""
+    hashed = df.select(F.xxhash64(_text(text)).alias("digest"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
+    grams = hashed.select("digest", F.explode(F.concat("h", _pairs(F.col("h")))).alias("g"))
+    grams = grams.select("digest", F.col("g").bitwiseAND(F.lit(ratios.buckets - 1).cast("bigint")).alias("bucket"))
+    found = grams.join(ratios.table, "bucket", "left").groupBy("digest")
+    return settle(found.agg(F.avg(F.coalesce("ratio", F.lit(0.0))).alias("mean")))
+
+
 def _repeated_words(n: Column) -> Column:
     """Words in windows that occur twice or more, from column `win` of window hashes in order.
 
@@ -90,25 +118,28 @@ def _repeated_words(n: Column) -> Column:
     return F.when(F.size(F.array_distinct("win")) < F.size("win"), found).otherwise(F.lit(0)).cast("bigint")
 
 
-def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score(df: DataFrame, ratios: list[float] | Ratios, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Add the base counts, `base_failed`, the length-normalised `score` and `kept` to every row.
 
     n_words, word_chars (code points in words), n_symbols, n_dup_lines and n_repeat_words are long. `base_failed`: fewer
     than ten words, or more than a fifth of them in repeated windows of five. `score` is the mean log ratio of a text's
     n-grams, 0 without any. `kept`: not base_failed and score at or above the threshold. A null text counts as empty.
-    Columns of the input with one of these names are replaced.
+    Columns of the input with one of these names are replaced. `ratios` is a list by bucket, or a table that is joined to
+    the n-grams by bucket; then texts are told apart by a 64-bit hash.
     """
+    joined = isinstance(ratios, Ratios)
     ours = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in ours]
-    table = F.from_json(F.lit("[" + ",".join(repr(x) for x in ratios) + "]"), "array<double>")
+    table = None if joined else F.from_json(F.lit("[" + ",".join(repr(x) for x in ratios) + "]"), "array<double>")
     lines = F.filter(F.split(_text(text), "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
     held = [F.struct(*keep).alias("row")] if keep else [F.struct(F.lit(None).alias("_")).alias("row")]
     made = df.select(
         *held, words(F.col(text)).alias("w"),
         F.length(F.regexp_replace(_text(text), r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"), lines.alias("lines"),
+        F.xxhash64(_text(text)).alias("digest"),
     )
     made = made.select(
-        "row", "n_symbols", F.size("w").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
+        "row", "digest", "n_symbols", F.size("w").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.transform("w", lambda w: F.xxhash64(w)).alias("h"),
     )
@@ -116,11 +147,14 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
     made = made.select("*", _pairs(F.col("h")).alias("pairs"))
     made = made.select("*", _joined(F.col("pairs"), _from(F.col("pairs"), 2, n - 3), n - 3).alias("fours"))
     made = made.select("*", _joined(F.col("fours"), _from(F.col("h"), 4, n - 4), n - 4).alias("win"))
-    mask = len(ratios) - 1
-    total = F.aggregate(F.concat("h", "pairs"), F.lit(0.0), lambda a, g: a + F.get(table, g.bitwiseAND(mask)))
-    made = made.withColumn(
-        "score", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0))
-    ).withColumn("n_repeat_words", _repeated_words(F.col("n"))).withColumn("n_words", F.col("n").cast("bigint"))
+    made = made.withColumn("n_repeat_words", _repeated_words(F.col("n"))).withColumn("n_words", F.col("n").cast("bigint"))
+    if joined:
+        made = made.select("row", "digest", "n_symbols", "word_chars", "n_dup_lines", "n_repeat_words", "n_words")
+        made = made.join(_scores(df, ratios, text), "digest", "left").withColumn("score", F.coalesce("mean", F.lit(0.0)))
+    else:
+        mask = len(ratios) - 1
+        total = F.aggregate(F.concat("h", "pairs"), F.lit(0.0), lambda a, g: a + F.get(table, g.bitwiseAND(mask)))
+        made = made.withColumn("score", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     # A filter on `kept` stops above the row number: below it, it would work out all that `kept` stands on once more.
     made = made.withColumn("base_failed", failed).withColumn("number", F.monotonically_increasing_id())
@@ -128,23 +162,28 @@ def score(df: DataFrame, ratios: list[float], text: str = "text", threshold: flo
     return made.select(*([F.col("row.*")] if keep else []), *ours)
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality", most: int = TRUSTED) -> DataFrame:
-    """Ids of trusted documents: those labelled with quality 1 and never with 0, at most `most`, the first by hash."""
-    good = (
+def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """Ids of trusted documents: those labelled with quality 1 and never with 0."""
+    return (
         labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("trusted_id"))
         .agg(F.min(quality).alias("least")).filter("least = 1").select("trusted_id")
     )
-    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-        prior: float = PRIOR) -> list[float]:
+        prior: float = PRIOR) -> list[float] | Ratios:
     """Log ratios from all documents against those that `labels` trusts. Without labels every document scores 0.
 
-    The raw multinomial counts every document, the target at most `TRUSTED` of the trusted ones. Their ids are sent to all
-    tasks, so no text is shuffled.
+    The raw multinomial counts every document, the target all trusted ones. There are `buckets` at least, and as many more
+    as keep the mean load of n-grams at `LOAD`; ratios of more than `buckets` are a table, which never comes to the driver.
     """
-    ids = trusted_ids(labels, key)
     held = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
-    marked = held.join(F.broadcast(ids), held.k == ids.trusted_id, "left")
-    return log_ratios(ngram_counts(marked, F.col("trusted_id").isNotNull(), "text", buckets), buckets, prior)
+    n = F.size(words(F.col("text"))).cast("bigint")
+    grams = held.agg(F.sum(F.greatest(2 * n - 1, F.lit(0)))).first()[0] or 0
+    ids = lookup(trusted_ids(labels, key))
+    marked = held.join(ids, held.k == ids.trusted_id, "left")
+    least = buckets
+    while buckets * LOAD < grams:
+        buckets *= 2
+    counts = ngram_counts(marked, F.col("trusted_id").isNotNull(), "text", buckets)
+    return log_ratios(counts, buckets, prior) if buckets == least else Ratios(buckets, ratio_table(counts, prior))
