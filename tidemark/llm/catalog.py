@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ans, itq, minhash, mixing, packing, quality, sharding, spans, stages, toxicity, urls
+from tidemark.llm import ans, itq, minhash, mixing, packing, quality, recipes, sharding, spans, stages, toxicity, urls
 from tidemark.session import settle, shared_dir
 
 QUERIES: dict = {}
@@ -139,3 +139,12 @@ FROM h LEFT JOIN fit ON fit.host = h.host AND fit.path = h.path""")
 def op10(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.rule_list(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_chunk_recipes", r"""
+WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+g AS (SELECT t, count(*) AS n, arg_min(doc_id, {'p': -points, 'k': doc_id}) AS keep_id FROM d GROUP BY t)
+SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""")
+def op11(spark, sf_dir):
+    found = recipes.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnsRenamed({"keep": "keep_id", "sha256": "text_sha256"})
