@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ans, itq, minhash, mixing, packing, quality, recipes, sharding, spans, stages, toxicity, urls
+from tidemark.llm import ans, itq, minhash, mixing, negatives, packing, quality, recipes, sharding, spans, stages, toxicity, urls
 from tidemark.session import settle, shared_dir
 
 QUERIES: dict = {}
@@ -148,3 +148,21 @@ SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, sha256(t) AS
 def op11(spark, sf_dir):
     found = recipes.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumnsRenamed({"keep": "keep_id", "sha256": "text_sha256"})
+
+
+@query("op13_multi_index", r"""
+WITH e AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.id <> b.id AND len(a.q) = len(b.q) WHERE a.id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5""")
+def op13(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), label, F.col("id") % 100 == 0)
