@@ -9,8 +9,9 @@ from tidemark.session import settle
 
 #: White space that does not count, each character on its own.
 SPACE = " \t\n\v\f\r"
-#: Code points of a chunk: it ends at the first punctuation mark after the least, or at the most.
-LEAST, MOST = 512, 4096
+#: A text falls into atoms that end with their punctuation; one atom in RATE ends a chunk, told by its hash. Code points of an
+#: atom and of a chunk at most.
+ATOM, RATE, MOST = 128, 16, 4096
 #: Seeds that are tried before chunks are taken not to be told apart by the digest.
 TRIES = 8
 
@@ -23,13 +24,18 @@ def normal(text: Column) -> Column:
     return out
 
 
-def cut(text: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """Chunks of a text in order; joined, they are the text. None for an empty one.
+def cut(text: Column) -> Column:
+    """Chunks of a normalised text in order; joined, they are the text. None for an empty one.
 
-    Where a chunk ends follows from what it holds: equal texts are cut alike, and texts that share a passage fall into step
-    within it, whatever stands before.
+    Where a chunk ends follows from the atom there alone: equal texts are cut alike, and texts that share a passage share the
+    chunks within it, whatever stands before. A chunk of more than `MOST` code points is cut from its start.
     """
-    return F.regexp_extract_all(text, F.lit(rf"(?s).{{{least},{most - 1}}}?\p{{P}}|(?s).{{1,{most}}}"), F.lit(0))
+    atoms = F.regexp_extract_all(text, F.lit(rf"\P{{P}}{{0,{ATOM - 1}}}\p{{P}}{{1,{ATOM}}}|\P{{P}}{{1,{ATOM}}}"), F.lit(0))
+    # A normalised text holds no line end, so one can mark the cuts.
+    marked = F.transform(atoms, lambda a: F.when(F.pmod(F.xxhash64(a), F.lit(RATE)) == 0, F.concat(a, F.lit("\n"))).otherwise(a))
+    chunks = F.filter(F.split(F.array_join(marked, ""), "\n"), lambda c: c != "")
+    return F.flatten(F.transform(chunks, lambda c: F.when(F.length(c) <= MOST, F.array(c)).otherwise(
+        F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{MOST}}}"), F.lit(0)))))
 
 
 def digest(chunk: Column, seed: int) -> Column:
@@ -62,7 +68,7 @@ def duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
     where rows repeat a key. `group_size` counts rows. Null texts count as empty, and empty ones are equal to each other. An
     empty table gives no rows.
 
-    A chunk leaves each task once and a whole text never; lists hold 16 bytes for each 512 characters or more. Copies are
+    A chunk leaves each task once and a whole text never; lists hold 16 bytes a chunk, of some 600 characters in prose. Copies are
     counted before they are shuffled, and rows are joined to groups of two or more by a plain join that can be split.
     """
     seed = verified_seed(df, text, digested)
