@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ans, itq, minhash, mixing, negatives, packing, quality, recipes, sharding, spans, stages, toxicity, urls
+from tidemark.llm import align, ans, itq, minhash, mixing, negatives, packing, quality, recipes, sharding, spans, stages, toxicity, urls
 from tidemark.session import settle, shared_dir
 
 QUERIES: dict = {}
@@ -150,6 +150,13 @@ def op11(spark, sf_dir):
     return found.withColumnsRenamed({"keep": "keep_id", "sha256": "text_sha256"})
 
 
+@query("op12_run_alignment")
+def op12(spark, sf_dir):
+    found = align.agreement(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), stages.vocabulary("byte_bpe_50k.json"), stages.vocabulary("piece_bpe_32k.model"))
+    return found.withColumnRenamed("sha256", "groups_sha256")
+
+
 @query("op13_multi_index", r"""
 WITH e AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
   list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q FROM embeddings
