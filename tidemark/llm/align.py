@@ -5,6 +5,7 @@ to one are jumped by probes of doubling length, and where they part the group is
 """
 
 import hashlib
+import itertools
 import os
 import re
 
@@ -17,9 +18,11 @@ from tidemark.llm import words
 from tidemark.session import settle
 
 #: Characters of a slice of a long text; distinct units that a worker keeps at most, and their ids.
-SLICE, UNITS, CACHED = 1 << 19, 700_000, 1 << 23
+SLICE, UNITS, CACHED = 1 << 19, 300_000, 1 << 22
 #: A unit: a run of ASCII white space and the word after it.
 UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+#: A unit of Latin letters and ASCII punctuation after them: two words of a byte-level tokenizer's model.
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
 #: White space beyond ASCII, and the mark that the second vocabulary writes for a space.
 WIDE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581"
 MARK = "\u2581"
@@ -32,6 +35,15 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Numbers(dict):
+    """Numbers units in the order in which they are first looked up, and keeps the new ones in a list."""
+
+    def __missing__(self, unit):
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
 class Encoders:
     """Both tokenizers: `a` byte-level from a JSON file, given a space before the text, `b` of pieces, which adds that space."""
 
@@ -44,6 +56,7 @@ class Encoders:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         letters = _byte_letters()
+        self.letters = {b: c for c, b in letters.items()}
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
             self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
@@ -59,7 +72,7 @@ class Encoders:
         self.clear()
 
     def clear(self):
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.sound = np.zeros(1024, bool)
         self.pools = [Pool(), Pool()]
 
@@ -74,27 +87,57 @@ class Encoders:
 
     def _units(self, units: list[str]) -> np.ndarray:
         """Numbers of units; those that are new are encoded."""
-        number = self.number
-        new = [u for u in dict.fromkeys(units) if u not in number]
+        new = self.number.new = []
+        which = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
         if new:
-            a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-            b = self.b.encode([u[1:] if u[0] == " " else u for u in new], num_threads=1)
-            sound = np.zeros(len(new), bool)
-            for k, u in enumerate(new):
-                if u == " ":
-                    b[k] = [self.space]
-                elif u[0] != " ":  # the space added before it is a piece of its own
-                    b[k] = b[k][1:] if b[k][:1] == [self.space] else []
-                want = u.encode()
-                sound[k] = b"".join([self.bytes_a[i] for i in a[k]]) == want and b"".join([self.bytes_b[i] for i in b[k]]) == want
-            first = len(number)
-            number.update(zip(new, range(first, first + len(new))))
-            if first + len(new) > len(self.sound):
-                self.sound = np.concatenate([self.sound, np.zeros(first + len(new), bool)])
-            self.sound[first:first + len(new)] = sound
+            a, b = self._unit_ids_a(new), self._unit_ids_b(new)
+            first = len(self.number) - len(new)
+            if len(self.number) > len(self.sound):
+                self.sound = np.concatenate([self.sound, np.zeros(len(self.number), bool)])
+            want = [u.encode() for u in new]
+            # All units at once; one by one only if some are not spelt.
+            joined = b"".join(want)
+            if all(b"".join([table[i] for i in itertools.chain.from_iterable(ids)]) == joined for ids, table in ((a, self.bytes_a), (b, self.bytes_b))) \
+                    and all((self._lengths(ids, length) == [len(w) for w in want]).all() for ids, length in ((a, self.length_a), (b, self.length_b))):
+                self.sound[first:len(self.number)] = True
+            else:
+                self.sound[first:len(self.number)] = [
+                    b"".join([self.bytes_a[i] for i in x]) == w and b"".join([self.bytes_b[i] for i in y]) == w for x, y, w in zip(a, b, want)]
             for pool, lists in zip(self.pools, (a, b)):
                 pool.add(lists)
-        return np.fromiter(map(number.__getitem__, units), np.int64, len(units))
+        return which
+
+    @staticmethod
+    def _lengths(lists, length) -> np.ndarray:
+        at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        total = np.concatenate([[0], np.cumsum(length[np.fromiter(itertools.chain.from_iterable(lists), np.int64, at[-1])])])
+        return np.diff(total[at])
+
+    def _unit_ids_a(self, units: list[str]) -> list[list[int]]:
+        tokenize, out, rest = self.a.model.tokenize, [], []
+        for unit in units:
+            plain = PLAIN.fullmatch(unit)
+            if plain:
+                some = [t.id for t in tokenize(self._letters(plain[1]))]
+                out.append(some + [t.id for t in tokenize(plain[2])] if plain[2] else some)
+            else:
+                rest.append((len(out), unit))
+                out.append(None)
+        for (k, _), found in zip(rest, self.a.encode_batch_fast([u for _, u in rest], add_special_tokens=False)):
+            out[k] = found.ids
+        return out
+
+    def _letters(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
+
+    def _unit_ids_b(self, units: list[str]) -> list[list[int]]:
+        out = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        for k, unit in enumerate(units):
+            if unit == " ":
+                out[k] = [self.space]
+            elif unit[0] != " ":  # the space added before it is a piece of its own
+                out[k] = out[k][1:] if out[k][:1] == [self.space] else []
+        return out
 
     def encode(self, texts: list[str]):
         """(ids of a, ids of b) of each text; both are empty for null and empty texts and where bytes differ."""
@@ -138,24 +181,25 @@ class Pool:
 
     def __init__(self):
         self.ids, self.used = np.zeros(1 << 12, np.int32), 0
-        self.at = [0]
+        self.at, self.lists = np.zeros(1 << 12, np.int32), 0
 
     def add(self, lists):
-        flat = np.fromiter((i for x in lists for i in x), np.int32)
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.int32)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.at += (self.used + np.cumsum([len(x) for x in lists], dtype=np.int64)).tolist()
-        self.used += len(flat)
-        self.offsets = np.array(self.at, np.int64)
+        sizes = np.array([len(x) for x in lists], np.int64)
+        total = int(sizes.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), total), np.int32)])
+        if self.lists + len(lists) >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(max(len(self.at), len(lists)), np.int32)])
+        self.ids[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(lists), np.int32, total)
+        self.at[self.lists + 1:self.lists + 1 + len(lists)] = self.used + np.cumsum(sizes)
+        self.used, self.lists = self.used + total, self.lists + len(lists)
 
     def joined(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the lists with these numbers, one after another, and the offset of each."""
-        if not len(which):
-            return np.zeros(0, np.int32), np.zeros(1, np.int64)
-        counts = self.offsets[which + 1] - self.offsets[which]
+        start = self.at[which].astype(np.int64)
+        counts = self.at[which + 1] - start
         at = np.concatenate([[0], np.cumsum(counts)])
-        return self.ids[np.repeat(self.offsets[which] - at[:-1], counts) + np.arange(at[-1])], at
+        return self.ids[np.repeat(start - at[:-1], counts) + np.arange(at[-1])], at
 
 
 def _slices(text: str):
