@@ -293,6 +293,44 @@ def test_vector_recall_by_cosine(spark):
     assert got >= 0.9 * len(both)
 
 
+def pairs_at(rng, n, dims, cosine):
+    x, d = rng.normal(size=(2, n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d -= (d * x).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine**2) * d / np.linalg.norm(d, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dims", [8, 16, 32, 768])
+def test_vectors_of_other_lengths(spark, dims):
+    """Recall at cosine 0.951, and candidates of unlike vectors in proportion to their number."""
+    x, y = pairs_at(np.random.default_rng(dims), 500, dims, 0.951)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in itq.near_duplicates(df).collect()}
+    both = np.concatenate([x, y])
+    near = (both @ both.T >= 0.95).sum(1) - 1
+    assert sum(r.n_links for r in got.values()) >= 0.9 * near.sum() and all(r.n_links <= near[i] for i, r in got.items())
+    model = itq.learn(x)
+    n = {}
+    for rows in (500, 1000):
+        z = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.random.default_rng(1).normal(size=(rows, dims)))], "rep long, v array<double>")
+        n[rows] = itq.candidates(itq._coded(z, {dims: model}).select("rep", "code"), rows).count()
+    assert n[1000] <= 0.05 * 1000 * 999 / 2
+
+
+def test_vectors_of_mixed_lengths_and_sizes(spark):
+    rng = np.random.default_rng(4)
+    vectors = [x.tolist() for x in rng.normal(size=(100, 24))]
+    for dims, scale in ((24, 1e-200), (24, 1e200), (10, 1.0), (10, 1e300), (3, 1e-310), (1, 1.0)):
+        x, y = pairs_at(rng, 4, dims, 0.99)
+        vectors += (x * scale).tolist() + (y * scale).tolist()
+    vectors += [[1e-200] * 12 + [0.0] * 12, [3e200] * 12 + [0.0] * 12, [5e-324, 0.0, 0.0], [1.7e308, 0.0, 0.0]]
+    unit = [np.array(v) / np.max(np.abs(v)) for v in vectors]
+    want = [sum(j != i and len(u) == len(w) and u @ w >= 0.95 * np.sqrt((u @ u) * (w @ w)) for j, w in enumerate(unit)) for i, u in enumerate(unit)]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = [r.n_links for r in itq.near_duplicates(df).orderBy("vec_id").collect()]
+    assert sum(want) >= 40 and sum(got) >= 0.9 * sum(want) and all(g <= w for g, w in zip(got, want))
+
+
 @pytest.mark.parametrize("rows", [1 << 20, 1 << 25, 1 << 27])
 def test_recall_of_the_tables_of_every_size(spark, rows):
     """Codes with independent bits, of pairs at cosine 0.951."""

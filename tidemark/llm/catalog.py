@@ -77,7 +77,8 @@ def op6(spark, sf_dir):
 
 @query("op5_itq_hamming", """
 WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-ok AS (SELECT * FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+ok AS (SELECT vec_id, list_transform(v, lambda x: x / list_max(list_transform(v, lambda y: abs(y)))) AS v FROM e
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   AND len(list_filter(v, lambda x: x <> 0)) > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   AND list_dot_product(a.v, b.v) >= 0.95 * sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))),
