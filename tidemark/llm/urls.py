@@ -5,6 +5,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import settle
+
 #: Hex digits of the digest that rows and rules are joined on; the whole digest is compared afterwards.
 SHORT = 8
 _PARTS = r"^([^/?#]*)([^?#]*)"
@@ -63,7 +65,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     prefixes = F.filter(F.array(*[F.substring("path", 1, n) if n else F.lit("") for n in shape.lengths]), lambda p: F.lit(True))
     pairs = F.flatten(F.transform("suffixes", lambda s: F.transform("prefixes", lambda p: F.struct(s.alias("s"), p.alias("p")))))
     looked = (
-        rows.select("host", "path").distinct()
+        rows.select("host", "path").filter("host != ''").distinct()  # no rule has an empty host
         .withColumn("labels", labels).withColumn("suffixes", suffixes).withColumn("prefixes", F.array_distinct(prefixes))
         .select("host", "path", F.explode(F.array_distinct(pairs)).alias("e"))
         .withColumn("digest", _digest(F.col("e.s"), F.col("e.p")))
@@ -81,6 +83,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
         looked.join(listed, "short").filter(F.col("digest") == F.col("r_digest"))
         .groupBy("host", "path").agg(F.max(rank).alias("best"))
     )
+    best = settle(best)  # so that rows of one very common host and path can be split below
     return rows.join(best, ["host", "path"], "left").select(
         *given, "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
