@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, mixing, packing, quality, spans
-from tidemark.session import prepare, shared_dir
+from tidemark.session import prepare, settle, shared_dir
 
 
 #: Rows of an Arrow batch at most: whole texts are long, and a worker holds several copies of a batch.
@@ -28,34 +28,58 @@ def stage(function):
     return run_stage
 
 
+def whole(docs: DataFrame):
+    """All columns of a row as one struct, so that no name of theirs meets one of ours."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): a written table in which every row has a number of its own, whatever its id."""
+    return settle(docs.select(F.monotonically_increasing_id().alias("row"), whole(docs).alias("doc")))
+
+
+def order():
+    """The order of numbered rows by id, null ids last, and of equal ids by number."""
+    return F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), F.col("row"))
+
+
 @stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules. Labels name the trusted ones; counts cover all documents that came in."""
+    """Documents that pass the quality rules. Labels name the trusted ones; counts cover all documents that came in.
+
+    Rows with null ids and repeated rows are judged by their texts like any other; null and empty texts go.
+    """
     ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return quality.score(rows, ratios).filter("kept").select("row.*")
+    return quality.score(docs.select(whole(docs).alias("doc"), "text"), ratios).filter("kept").select("doc.*")
 
 
 @stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id.
+    """One row of each group of near-duplicates, the one with the smallest id, whichever ids repeat or are null.
 
-    Rows that repeat an id stay or go together, and stay if the text of any of them does; rows without an id stay.
+    Null ids come last, rows with one id in any order. Texts without a word are near-duplicates of nothing and stay.
     """
-    judged = minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs)
+    judged = minhash.near_duplicates(rows.select("row", F.col("doc.text").alias("text")), "row").select("row", "component")
+    first = judged.join(rows.select("row", order().alias("order")), "row").groupBy("component").agg(F.min("order").alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").select("doc.*")
 
 
 @stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text."""
-    made = spans.without_repeats(docs, removed="_removed", whole=True)
-    made = made.filter((F.col("_removed") == 0) | F.rlike("text", F.lit("[^\\x20\\x09-\\x0D]"))).drop("_removed")
+    """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text.
+
+    The first occurrence is that of the smallest id, null ids last; of rows with one id any may be the first. Texts that had
+    no word before stay.
+    """
+    rows = numbered(docs).select(order().alias("order"), F.col("doc.text").alias("text"), "doc")
+    made = spans.without_repeats(rows, "order", whole=True)
+    made = made.filter((F.col("n_removed") == 0) | F.rlike("text", F.lit("[^\\x20\\x09-\\x0D]")))
+    new = {"text": F.col("text").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-        made = made.withColumn("n_chars", F.when(F.col("text").isNotNull(), length).otherwise(F.col("n_chars")))
-    return made.select(*docs.columns)
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("text").isNotNull(), length).otherwise(F.col("doc.n_chars"))
+    return made.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def vocabulary(name: str) -> str:
@@ -78,8 +102,9 @@ MIX_WEIGHTS = {(f"domain{d}", lang): w for d in range(4) for lang, w in (("en",
 @stage
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen so that tokens follow the target weights, each once at most; the budget is nine tenths of the tokens."""
-    mixed = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1)
-    return mixed.select(*docs.columns)
+    rows = docs.select(whole(docs).alias("doc"), "doc_id", "text", "lang", "source")
+    mixed = mixing.mix(rows, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1)
+    return mixed.select("doc.*")
 
 
 @stage
