@@ -20,9 +20,9 @@ from tidemark.session import settle
 #: cell a length.
 SAMPLE, LENGTHS, ROUNDS = 20_000, 4, 12
 #: Codes of a half at most, and rows of a cell on average below that.
-CODES, CELL = 256, 64
+CODES, CELL = 256, 256
 #: Rows of a cell that are scored at once, queries scored at once, rows that the first walk takes.
-CHUNK, BLOCK, PROBE = 128, 64, 512
+CHUNK, BLOCK, PROBE = 256, 64, 512
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 INDEXED = "id bigint, label string, q array<int>, size int, i int, j int, d_i double, d_j double"
 
@@ -252,7 +252,8 @@ def _scored(same: bool, most: int):
 
 def _best(queries: DataFrame, index: Index, same: bool, most: int, probe: bool) -> DataFrame:
     """(query, w, found, score, rank): the best rows of each window among the cells that are walked."""
-    met = _routed(queries, index, probe).join(index.table, ["size", "i", "j"]).select("queries", "rows", "size")
+    # A merge join: the planner takes the blocks for as small as the queries, though each goes to many cells.
+    met = _routed(queries, index, probe).hint("merge").join(index.table, ["size", "i", "j"]).select("queries", "rows", "size")
     some = met.mapInArrow(_scored(same, most), "query bigint, w int, found bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query", "w").orderBy(F.desc("score"), "found"))
     return some.withColumn("rank", rank).filter(F.col("rank") <= most)
