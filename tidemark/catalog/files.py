@@ -77,7 +77,7 @@ def stream_ingest(spark, sf):
     order = [F.col("row_seq").cast("bigint")]
     run = ingest.start_ingest(spark, f"{landing_files(spark, sf)}/good", root, f"{root}/checkpoint", {"availableNow": True}, order=order)
     run.awaitTermination()
-    return Warehouse(spark, root).read("fact_abonnements").drop("creation_month")
+    return Warehouse(spark, root).read("fact_abonnements")
 
 
 @query("stream_daily_counts", "SELECT CAST(ts AS DATE) AS date, count(*) AS nb_abonnements FROM events GROUP BY 1")

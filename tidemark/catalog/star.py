@@ -171,7 +171,7 @@ def audit_log(spark, sf):
 def etl_end_to_end(spark, sf):
     """Whole batch from landing rows to stored star, run anew on every call."""
     tables = run_batch(spark, landing(spark, sf), scratch(spark, "batch"), ["row_seq"])
-    return tables["fact_abonnements"].drop("creation_month")
+    return tables["fact_abonnements"]
 
 
 # ---- checks ------------------------------------------------------------------------------------------------------

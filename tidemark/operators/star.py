@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import dates
-from tidemark.session import lookup
+from tidemark.session import lookup, settle
 
 GEO_KEY = ["city", "governorate", "delegation_name", "locality_name"]
 
@@ -144,10 +144,11 @@ def _split_null_keys(df: DataFrame, key) -> tuple[DataFrame, DataFrame]:
     return df.filter(known), df.filter(~known)
 
 
-def merge(existing: DataFrame, incoming: DataFrame, key, update_cols=(), null_safe=False) -> DataFrame:
+def merge(existing: DataFrame, incoming: DataFrame, key, update_cols=(), null_safe=False, when: str | None = None) -> DataFrame:
     """Upsert: on a key match the update columns come from the incoming row and all others stay; new keys are added.
 
-    Both sides have at most one row per key. Existing rows with a null key match nothing and skip the join.
+    Both sides have at most one row per key. Existing rows with a null key match nothing and skip the join. `when` names a
+    boolean column of both sides: incoming rows without it add new keys only.
     """
     key = [key] if isinstance(key, str) else list(key)
     rest = None
@@ -161,11 +162,11 @@ def merge(existing: DataFrame, incoming: DataFrame, key, update_cols=(), null_sa
         F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) if null_safe else F.col(f"o.{k}") == F.col(f"n.{k}") for k in key
     ]
     joined = old.join(new, reduce(lambda a, b: a & b, match), "full_outer")
+    news = F.col("_new").isNotNull() & F.col(f"n.{when}") if when else F.col("_new").isNotNull()
 
     def value(c):
-        if c in update_cols:
-            return F.when(F.col("_new").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
-        return F.when(F.col("_old").isNotNull(), F.col(f"o.{c}")).otherwise(F.col(f"n.{c}"))
+        first = F.when(F.col("_old").isNotNull(), F.col(f"o.{c}")).otherwise(F.col(f"n.{c}"))
+        return F.when(news, F.col(f"n.{c}")).otherwise(first) if c in update_cols else first
 
     merged = joined.select(*[value(c).alias(c) for c in existing.columns])
     return merged if null_safe else merged.unionByName(rest)
@@ -185,39 +186,52 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key, order=None) ->
     return existing.unionByName(fresh.select(*existing.columns)).unionByName(unkeyed.select(*existing.columns))
 
 
-def merge_dimension(existing: DataFrame, members: DataFrame, id_column: str, key, now=None) -> DataFrame:
-    """Known members keep key and attributes and only get `updated_at`; new ones are numbered after the highest key.
+def merge_dimension(existing: DataFrame, members: DataFrame, id_column: str, key, now=None, top: int | None = None) -> DataFrame:
+    """Known members keep key and attributes and only get `updated_at`; new ones are numbered after the highest key, `top`.
 
-    `existing` is a stored table, so its highest key is read from it.
+    `existing` is a stored table, so its highest key is read from it unless `top` is given. Both sides meet in one join.
     """
+    touched = "updated_at" in existing.columns
     names = [c for c in existing.columns if c not in (id_column, "updated_at")]
     match = reduce(lambda a, b: a & b, [F.col(f"m.{k}").eqNullSafe(F.col(f"e.{k}")) for k in key])
-    fresh = members.select(*names).alias("m").join(existing.alias("e"), match, "left_anti")
-    top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).first()["top"]
-    added = assign_ids(fresh, id_column, key, base=top)
-    if "updated_at" not in existing.columns:
-        return existing.unionByName(added)
-    seen = existing.alias("e").join(members.select(*key).alias("m"), match, "left_semi")
-    unseen = existing.alias("e").join(members.select(*key).alias("m"), match, "left_anti")
-    stamp = F.lit(now)
-    return (
-        unseen.unionByName(seen.withColumn("updated_at", stamp)).unionByName(added.withColumn("updated_at", stamp))
-    )
+    old = existing.withColumn("_old", F.lit(True)).alias("e")
+    both = old.join(members.select(*names).withColumn("_new", F.lit(True)).alias("m"), match, "full_outer")
+    both = settle(both.select(
+        "_old", "_new", f"e.{id_column}", *(["e.updated_at"] if touched else []),
+        *[F.when(F.col("_old").isNotNull(), F.col(f"e.{c}")).otherwise(F.col(f"m.{c}")).alias(c) for c in names],
+    ))
+    if top is None:
+        top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).first()["top"]
+    known = both.filter("_old IS NOT NULL")
+    added = assign_ids(both.filter("_old IS NULL").select(*names), id_column, key, base=top)
+    if touched:
+        known = known.withColumn("updated_at", F.when(F.col("_new").isNotNull(), F.lit(now)).otherwise(F.col("updated_at")))
+        added = added.withColumn("updated_at", F.lit(now))
+    return known.select(*existing.columns).unionByName(added.select(*existing.columns))
 
 
 CLEAN_UPDATES = ["kit_code", "dealer_id", "offre", "creation_date"]
 FACT_UPDATES = ["kit_code", "date_id", "offre_id", "geo_id", "dealer_id_pk"]
 
 
-def upsert_clean(existing: DataFrame, valid: DataFrame, invalid: DataFrame, order) -> DataFrame:
+def one_per_number(valid: DataFrame, invalid: DataFrame, order) -> DataFrame:
+    """The valid row of each number, or else its first invalid one, and all rows without a number."""
+    extra = [c for c in valid.columns if c not in invalid.columns]
+    padded = invalid.withColumns({c: F.lit(None).cast(valid.schema[c].dataType) for c in extra})
+    keyed, rest = _split_null_keys(padded, ["msisdn"])
+    first = F.row_number().over(Window.partitionBy("msisdn").orderBy(*order))
+    keyed = keyed.withColumn("_n", first).filter("_n = 1").select(*valid.columns)
+    known = valid.select("msisdn").withColumnRenamed("msisdn", "_known")
+    unknown = keyed.join(known, F.col("msisdn") == F.col("_known"), "left_anti")
+    return valid.unionByName(unknown).unionByName(rest.select(*valid.columns))
+
+
+def upsert_clean(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Valid rows update kit, dealer, offer and date of known numbers; invalid rows come in only if unknown.
 
-    `creation_day` follows `creation_date`.
+    `incoming` has one row per number (`one_per_number`). `creation_day` follows `creation_date`.
     """
-    merged = merge(existing, valid, "msisdn", CLEAN_UPDATES + [c for c in existing.columns if c == "creation_day"])
-    extra = [c for c in merged.columns if c not in invalid.columns]
-    padded = invalid.withColumns({c: F.lit(None).cast(merged.schema[c].dataType) for c in extra})
-    return insert_ignore(merged, padded, "msisdn", order)
+    return merge(existing, incoming, "msisdn", CLEAN_UPDATES + [c for c in existing.columns if c == "creation_day"], when="is_valid")
 
 
 def upsert_fact(existing: DataFrame, incoming: DataFrame) -> DataFrame:

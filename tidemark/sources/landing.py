@@ -21,6 +21,18 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(r.path for r in listing.collect())
 
 
+def move_file(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file; one that has been moved before is left alone."""
+    jvm = spark.sparkContext._jvm
+    source, there = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(target)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(there):
+        return
+    fs.mkdirs(there.getParent())
+    if not fs.rename(source, there):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
