@@ -278,22 +278,35 @@ def alignments(df: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "
     Long texts are walked in slices; white space that is not ASCII has a text encoded in one go.
     """
     def made(batches):
-        enc = encoders(a, b)
-        for batch in batches:
-            for part, _, _ in words.pieces(batch, "text"):
-                found = enc.encode(part.column("text").to_pylist())
-                columns = [[], [], [], []]
-                for x, y in found:
-                    cut_x, cut_y = _aligned(np.cumsum(enc.length_a[x]), np.cumsum(enc.length_b[y]))
-                    for column, values in zip(columns, (x, y, np.diff(cut_x, prepend=0), np.diff(cut_y, prepend=0))):
-                        column.append(values)
-                yield pa.RecordBatch.from_arrays([part.column("key"), *map(_list_array, columns)], names=["key", "a_ids", "b_ids", "a_sizes", "b_sizes"])
-
-    kind = df.select(F.col(_quoted(key)).alias("key"), F.col(_quoted(text)).cast("string").alias("text"))
-    out = kind.mapInArrow(made, f"key {dict(kind.dtypes)['key']}, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>")
+        for keys, columns in _parts(batches, encoders(a, b)):
+            yield pa.RecordBatch.from_arrays([keys, *(pa.ListArray.from_arrays(
+                pa.array(at.astype(np.int32)), pa.array(flat.astype(np.int32))) for flat, at in columns)], names=["key", *LISTS])
+
+    rows = _rows(df, key, text)
+    out = rows.mapInArrow(made, f"key {dict(rows.dtypes)['key']}, {', '.join(f'{c} array<int>' for c in LISTS)}")
     return out.withColumnRenamed("key", key)
 
 
+LISTS = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
+
+
+def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(_quoted(key)).alias("key"), F.col(_quoted(text)).cast("string").alias("text"))
+
+
+def _parts(batches, enc: Encoders):
+    """(keys, columns) for half a megabyte of rows at a time; a column is the values of all rows and the offset of each row's."""
+    for batch in batches:
+        for part, _, _ in words.pieces(batch, "text"):
+            columns = [[], [], [], []]
+            for x, y in enc.encode(part.column("text").to_pylist()):
+                cut_x, cut_y = _aligned(np.cumsum(enc.length_a[x]), np.cumsum(enc.length_b[y]))
+                for column, values in zip(columns, (x, y, np.diff(cut_x, prepend=0), np.diff(cut_y, prepend=0))):
+                    column.append(values)
+            yield part.column("key"), [
+                (np.concatenate(c).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in c], dtype=np.int64)])) for c in columns]
+
+
 def _aligned(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """`cuts` of long arrays by slices, each up to an end that both have."""
     if len(ends_a) <= 2 * SLICE:
@@ -308,11 +321,6 @@ def _aligned(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([c for c, _ in out]), np.concatenate([c for _, c in out])
 
 
-def _list_array(lists) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int32)))
-
-
 class Pairs:
     """All pairs of ids that can end together: the bytes of one are the end of the other's. Their number is fixed by the
     vocabularies, at most one for each byte of each token."""
@@ -354,27 +362,22 @@ def _digits(ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def summaries(aligned: DataFrame, a: str, b: str, key: str = "doc_id") -> DataFrame:
-    """(key, n_a, n_b, n_groups, links, sha256) of each row of `alignments`: counts, the pair of ids that ends each group by
-    its number in `Pairs`, and a digest of the groups as text, empty without tokens."""
+def summaries(df: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_a, n_b, n_groups, links, sha256) of what `alignments` gives: counts, the pair of ids that ends each group by its
+    number in `Pairs`, and a digest of the groups as text, empty without tokens."""
     def made(batches):
         both = pairs(a, b)
-        for batch in batches:
-            lists = {c: batch.column(c) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")}
-            flat = {c: x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c, x in lists.items()}
-            at = {c: x.offsets.to_numpy().astype(np.int64) - x.offsets[0].as_py() for c, x in lists.items()}
-            end_a, end_b = np.cumsum(flat["a_sizes"]), np.cumsum(flat["b_sizes"])
-            links = both.of(flat["a_ids"][end_a - 1], flat["b_ids"][end_b - 1]).astype(np.int32)
-            texts, ends = _spelt(flat["a_ids"], flat["b_ids"], flat["a_sizes"], flat["b_sizes"])
-            group = at["a_sizes"]
+        for keys, ((a_ids, at_a), (b_ids, at_b), (a_sizes, group), (b_sizes, _)) in _parts(batches, encoders(a, b)):
+            links = both.of(a_ids[np.cumsum(a_sizes) - 1], b_ids[np.cumsum(b_sizes) - 1]).astype(np.int32)
+            texts, ends = _spelt(a_ids, b_ids, a_sizes, b_sizes)
             last = np.concatenate([[0], ends])[group]
             digest = [hashlib.sha256(texts[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(last[:-1].tolist(), last[1:].tolist())]
             yield pa.RecordBatch.from_arrays([
-                batch.column("key"), *(pa.array(np.diff(at[c])) for c in ("a_ids", "b_ids", "a_sizes")),
+                keys, *(pa.array(np.diff(at)) for at in (at_a, at_b, group)),
                 pa.ListArray.from_arrays(pa.array(group.astype(np.int32)), pa.array(links)), pa.array(digest, pa.string()),
             ], names=["key", "n_a", "n_b", "n_groups", "links", "sha256"])
 
-    rows = aligned.select(F.col(_quoted(key)).alias("key"), "a_ids", "b_ids", "a_sizes", "b_sizes")
+    rows = _rows(df, key, text)
     out = rows.mapInArrow(made, f"key {dict(rows.dtypes)['key']}, n_a bigint, n_b bigint, n_groups bigint, links array<int>, sha256 string")
     return out.withColumnRenamed("key", key)
 
@@ -406,17 +409,17 @@ def _table() -> np.ndarray:
     return _TABLE[0]
 
 
-def pair_counts(found: DataFrame, a: str, b: str) -> np.ndarray:
-    """How many links hold each pair of `Pairs`. Each task sends a row for a pair at most, and so does the sum."""
+def pair_counts(found: DataFrame, n: int) -> np.ndarray:
+    """How many links hold each of `n` pairs. Each task sends a row for a pair at most, and so does the sum."""
     def counted(batches):
-        total = np.zeros(len(pairs(a, b).keys), np.int64)
+        total = np.zeros(n, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column("links").flatten().to_numpy(zero_copy_only=False), minlength=len(total))
+            total += np.bincount(batch.column("links").flatten().to_numpy(zero_copy_only=False), minlength=n)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["pair", "n"])
 
     rows = found.select("links").mapInArrow(counted, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(pairs(a, b).keys), np.int64)
+    out = np.zeros(n, np.int64)
     out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
     return out
 
@@ -428,9 +431,9 @@ def agreement(df: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "t
     `n_best` is the number of links whose count no other pair with the same id of b exceeds, `count_sum` the sum of the
     counts. Rows without tokens (see `alignments`) have zeros and an empty digest.
     """
-    found = settle(summaries(alignments(df, a, b, key, text), a, b, key))
-    counts = pair_counts(found, a, b)
+    found = settle(summaries(df, a, b, key, text))
     of = pairs(a, b).b
+    counts = pair_counts(found, len(of))
     most = np.zeros(int(of.max(initial=0)) + 1, np.int64)
     np.maximum.at(most, of, counts)
     known = df.sparkSession.sparkContext.broadcast((counts, counts == most[of]))
