@@ -135,3 +135,53 @@ def test_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
     )
     with pytest.raises(ValueError):
         session.shared_dir(fake)
+
+
+def test_bursts_of_files_are_one_batch_each(spark, tmp_path):
+    """Files that come within one interval of the processing-time trigger form one batch, and batches do not overlap."""
+    import time
+
+    inbox, root = tmp_path / "in", str(tmp_path / "w")
+    inbox.mkdir()
+    number = lambda i: GOOD.replace("98765432", f"2000000{i}").replace("KIT1", f"KIT{i}")
+    store, running = tables.Warehouse(spark, root), []
+
+    def after(version):
+        running.append(version)
+
+    def wait(n):
+        end = time.time() + 120
+        while len(running) < n and time.time() < end:
+            time.sleep(0.2)
+
+    for i in (1, 2, 3):
+        write(inbox, f"{i}.csv", fixed.REQUIRED_COLUMNS, number(i))
+    query = ingest.start_ingest(spark, str(inbox), root, f"{root}/cp", {"processingTime": "60 seconds"}, after=after)
+    try:
+        wait(1)
+        for i in (4, 5):  # within the minute before the next trigger
+            write(inbox, f"{i}.csv", fixed.REQUIRED_COLUMNS, number(i))
+        wait(2)
+    finally:
+        query.stop()
+    assert len(running) == 2 and store.versions("fact_abonnements") == running
+    loads = spark.read.parquet(f"{root}/raw_data").groupBy("load_id").count().collect()
+    assert sorted(r["count"] for r in loads) == [2, 3]
+
+
+def test_landing_files_move_after_the_load(spark, tmp_path):
+    from tidemark.plans.batch import run_landing
+
+    inbox, done, root = tmp_path / "in", tmp_path / "processed", str(tmp_path / "w")
+    inbox.mkdir()
+    number = lambda i: GOOD.replace("98765432", f"2000000{i}").replace("KIT1", f"KIT{i}")
+    write(inbox, "a.csv", fixed.REQUIRED_COLUMNS, number(1), number(2))
+    write(inbox, "bad.csv", fixed.REQUIRED_COLUMNS[1:], "x")
+    assert run_landing(spark, str(inbox), str(done), root)["fact_abonnements"].count() == 2
+    assert [f.name for f in inbox.glob("*.csv")] == ["bad.csv"] and [f.name for f in done.rglob("*.csv")] == ["a.csv"]
+    write(inbox, "a.csv", fixed.REQUIRED_COLUMNS, number(3))  # a new file under a name that was there before
+    assert run_landing(spark, str(inbox), str(done), root)["fact_abonnements"].count() == 3
+    assert len(list(done.rglob("a.csv"))) == 2
+    (inbox / "bad.csv").unlink()
+    assert run_landing(spark, str(inbox), str(done), root) is None
+    assert spark.read.parquet(f"{root}/raw_data").count() == 3

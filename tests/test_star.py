@@ -1,6 +1,7 @@
 """Duplicates, keys, upserts and batches."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -99,3 +100,67 @@ def test_number_filter_reaches_the_fact_scan(spark, sf):
     plan = reports.subscription(t["fact_abonnements"], t["dim_time"], t["dim_geo"], t["dim_offer"], t["dim_dealer"], "21620000001")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(msisdn,21620000001)" in text
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    data = lambda *pairs: spark.createDataFrame(pairs, "k string, v int")
+    put = lambda df, batch, **how: store.upsert("t", df, ["k"], lambda known, _: df if known is None else star.merge(known, df, "k", ["v"]), batch, 8, **how)
+    put(data(*[(f"k{i}", i) for i in range(100)], (None, 1)), 1)
+    before = store.files("t")
+    assert sum(len(f) for b, f in before.items()) == 9
+    table = put(data(("k5", 50), (None, 2)), 2)
+    after = store.files("t")
+    assert [b for b in before if before[b] != after[b]] != [] and len([b for b in before if before[b] != after[b]]) == 2
+    assert after["-1"][:1] == before["-1"] and len(after["-1"]) == 2
+    assert table.filter("k = 'k5'").first().v == 50 and table.count() == 102
+    assert rows(put(data(("k5", 99)), 2), "k", "v") == rows(table, "k", "v")  # a batch that is in stays as it is
+    assert store.versions("t") == [1, 2] and store.read("t", before=2).filter("k = 'k5'").first().v == 5
+    gone = store.expire("t")
+    assert len(gone) == 1 and rows(store.read("t"), "k", "v") == rows(table, "k", "v") and store.expire("t") == []
+
+
+def test_writers_at_once_lose_nothing(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    data = lambda *pairs: spark.createDataFrame(pairs, "k string, v int")
+    seen = []
+
+    def put(df, batch, other=None):
+        def combine(known, _):
+            if other and not seen:
+                seen.append(1)
+                other()  # another batch commits between reading and writing
+            return df if known is None else star.merge(known, df, "k", ["v"])
+        return store.upsert("t", df, ["k"], combine, batch, 4)
+
+    first = data(*[(f"a{i}", i) for i in range(20)])
+    put(first, 1, lambda: put(data(("b", 1), ("a3", 33)), 2))
+    assert store.versions("t") == [1, 2] and store.read("t").count() == 21
+    seen.clear()
+    put(data(("b", 5)), 3, lambda: put(data(*[(f"c{i}", 1) for i in range(20)]), 4))
+    assert store.read("t").count() == 41 and store.read("t").filter("k = 'b'").first().v == 5
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(store.claim, [f"t{i % 4}" for i in range(16)]))
+    assert len(set(versions)) == 4 and all(versions[i] == versions[i % 4] for i in range(16))
+    assert not store.publish("x/y", "2") if store.publish("x/y", "1") else False
+    assert store.noted("x/y") == "1"
+
+
+def test_dimension_numbers_stay_unique_over_batches_at_once(spark, tmp_path):
+    from tidemark.plans.batch import _write_dimension
+
+    store, now = Warehouse(spark, str(tmp_path)), dt.datetime(2026, 1, 1)
+    members = lambda *names: spark.createDataFrame([(n, f"Dealer_{n}") for n in names], "dealer_id string, dealer_name string")
+    with ThreadPoolExecutor(3) as pool:
+        sets = [members(*[f"m{k}{i}" for i in range(10)], "same") for k in range(3)]
+        list(pool.map(lambda a: _write_dimension(store, "dealer", a[1], "dealer_id_pk", ["dealer_id"], a[0] + 1, now), enumerate(sets)))
+    ids = [r.dealer_id_pk for r in store.read("dim_dealer").collect()]
+    assert len(ids) == 31 and len(set(ids)) == 31 and max(ids) == 31
+
+
+def test_merge_dimension_in_one_join(spark):
+    old = spark.createDataFrame([(1, "a", None, "x", dt.datetime(2026, 1, 1)), (2, "b", "q", "y", dt.datetime(2026, 1, 1))], "id long, k string, l string, v string, updated_at timestamp")
+    new = spark.createDataFrame([("a", None, "Z"), ("c", None, "w"), ("b", None, "u")], "k string, l string, v string")
+    got = star.merge_dimension(old, new, "id", ["k", "l"], dt.datetime(2026, 1, 2))
+    assert sorted((r.id, r.k, r.l, r.v, r.updated_at.day) for r in got.filter("id < 3").collect()) == [(1, "a", None, "x", 2), (2, "b", "q", "y", 1)]
+    assert sorted((r.k, r.v) for r in got.filter("id > 2").collect()) == [("b", "u"), ("c", "w")]

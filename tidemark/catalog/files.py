@@ -1,12 +1,15 @@
 """Queries on landing files and streams."""
 
 import datetime as dt
+import json
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import fixed
-from tidemark.catalog.base import TO_FACT, TO_FIRST, TO_NORM, query, scratch, staged, with_
+from tidemark.catalog.base import TO_CLEAN, TO_FACT, TO_FIRST, TO_NORM, query, scratch, staged, with_
 from tidemark.operators import clean, series
+from tidemark.plans.batch import run_batch, run_landing
 from tidemark.session import settle
 from tidemark.sources import landing as L
 from tidemark.sources.bridge import landing_view, read
@@ -80,6 +83,60 @@ def stream_ingest(spark, sf):
     return Warehouse(spark, root).read("fact_abonnements")
 
 
+@query("stream_replayed", with_(TO_FACT, "SELECT f.msisdn, f.kit_code, f.date_id, f.offre_id, f.geo_id, f.dealer_id_pk, f.debit, (SELECT count(*) FROM landing) AS raw_rows, CAST(1 AS BIGINT) AS batches FROM fact f"))
+def stream_replayed(spark, sf):
+    """A burst of files in one trigger, which fails after its batch is in and is run again: each file counts once."""
+    root = scratch(spark, "replayed")
+    source = f"{landing_files(spark, sf)}/good"
+
+    def fail(version):
+        raise RuntimeError("lost before the trigger was noted as done")
+
+    def run(after=None):
+        order = [F.col("row_seq").cast("bigint")]
+        return ingest.start_ingest(spark, source, root, f"{root}/checkpoint", {"availableNow": True}, order=order, after=after)
+
+    try:
+        run(fail).awaitTermination()
+    except StreamingQueryException as lost:
+        if "lost before" not in str(lost):
+            raise
+    for _ in range(2):
+        run().awaitTermination()
+    store = Warehouse(spark, root)
+    raw = spark.read.parquet(f"{root}/raw_data").count()
+    return store.read("fact_abonnements").select(
+        "msisdn", "kit_code", "date_id", "offre_id", "geo_id", "dealer_id_pk", "debit", F.lit(raw).cast("bigint").alias("raw_rows"),
+        F.lit(len(store.versions("fact_abonnements"))).cast("bigint").alias("batches"))
+
+
+@query("landing_moved", with_(TO_CLEAN, f"""SELECT (SELECT count(DISTINCT msisdn) FROM clean) AS numbers, (SELECT count(*) FROM landing) AS raw_rows, CAST({PARTS} AS BIGINT) AS files_moved,
+ CAST(0 AS BIGINT) AS files_left, CAST(2 AS BIGINT) AS batches"""))
+def landing_moved(spark, sf):
+    """Landing files loaded in two runs, of which the first dies before it moves its files; a third finds none."""
+    source, root = f"{landing_files(spark, sf)}/good", scratch(spark, "moved")
+    inbox, done, store = f"{root}/in", f"{root}/processed", Warehouse(spark, f"{root}/w")
+    files = L.list_files(spark, source)
+
+    def bring(some):
+        for f in some:
+            L.copy_file(spark, f, f"{inbox}/{f.rsplit('/', 1)[1]}")
+
+    bring(files[:2])
+    died = store.claim("died")
+    store.publish(f"etl_landing/taken/{died}", json.dumps(L.list_files(spark, inbox)))
+    rows, _ = L.read_landing(spark, inbox)
+    run_batch(spark, rows, store.root, [F.col("row_seq").cast("bigint")], died)
+    bring(files[2:])
+    for _ in range(2):
+        run_landing(spark, inbox, done, store.root, [F.col("row_seq").cast("bigint")])
+    raw = spark.read.parquet(f"{store.root}/raw_data").count()
+    return store.read("clean_data").agg(F.count_distinct("msisdn").alias("numbers")).select(
+        "numbers", *[F.lit(n).cast("bigint").alias(c) for c, n in (
+            ("raw_rows", raw), ("files_moved", len(L.list_files(spark, f"{done}/*"))), ("files_left", len(L.list_files(spark, inbox))),
+            ("batches", len(store.versions("fact_abonnements"))))])
+
+
 @query("stream_daily_counts", "SELECT CAST(ts AS DATE) AS date, count(*) AS nb_abonnements FROM events GROUP BY 1")
 def stream_daily_counts(spark, sf):
     root = scratch(spark, "counts")

@@ -1,6 +1,7 @@
 """Queries on the star: dimensions, fact, upserts, checks, reports."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tidemark.catalog.base import (
 from tidemark.operators import checks, clean, reports, star
 from tidemark.plans.batch import run_batch
 from tidemark.session import settle
+from tidemark.sources.tables import Warehouse
 
 
 def _lists(spark, sf):
@@ -160,6 +162,48 @@ def _two_batches(spark, sf):
     return run_batch(spark, rows.filter("row_seq % 2 = 1"), root, ["row_seq"], 2, dt.datetime(2026, 1, 2))
 
 
+_THREE = TO_CLEAN + ["""
+f AS (SELECT * FROM (SELECT *, row_seq % 3 AS b, row_number() OVER (PARTITION BY row_seq % 3, msisdn ORDER BY row_seq) AS rn FROM clean WHERE is_valid) WHERE rn=1)""", """
+o AS (SELECT row_number() OVER (ORDER BY min(b), substr(md5(offre),1,2), offre) AS offre_id, offre AS nom_offre FROM f WHERE offre IS NOT NULL GROUP BY offre)""", """
+gm AS (SELECT city, governorate, delegation_name, locality_name, min(b) AS b, city || chr(1) || governorate || chr(1) || coalesce(delegation_name, chr(2)) || chr(1) || coalesce(locality_name, chr(2)) AS k
+ FROM f WHERE city IS NOT NULL AND governorate IS NOT NULL GROUP BY city, governorate, delegation_name, locality_name)""", """
+g AS (SELECT *, row_number() OVER (ORDER BY b, substr(md5(k),1,2), k) AS geo_id FROM gm)""", """
+d AS (SELECT row_number() OVER (ORDER BY min(b), substr(md5(dealer_id),1,2), dealer_id) AS dealer_id_pk, dealer_id FROM f WHERE dealer_id IS NOT NULL GROUP BY dealer_id)""", """
+w AS (SELECT f.*, CAST(date_diff('day', DATE '2024-01-01', f.creation_day) + 1 AS BIGINT) AS date_id, o.offre_id, g.geo_id, d.dealer_id_pk FROM f JOIN o ON o.nom_offre = f.offre
+ JOIN g ON g.city = f.city AND g.governorate = f.governorate AND g.delegation_name = f.delegation_name AND g.locality_name = f.locality_name
+ JOIN d ON d.dealer_id = f.dealer_id WHERE f.creation_day IS NOT NULL)"""]
+
+
+@query("three_batches", with_(_THREE, """SELECT CAST(msisdn AS BIGINT) AS abonnement_id, msisdn, l.kit_code, l.date_id, l.offre_id, l.geo_id, l.dealer_id_pk, debit, l.creation_day
+ FROM (SELECT msisdn, arg_max({'kit_code': kit_code, 'date_id': date_id, 'offre_id': offre_id, 'geo_id': geo_id, 'dealer_id_pk': dealer_id_pk, 'creation_day': creation_day}, b) AS l,
+ arg_min({'debit': debit}, b).debit AS debit FROM w GROUP BY msisdn)"""))
+def three_batches(spark, sf):
+    """The fact after three batches, each merged into the buckets of its numbers; the last one twice."""
+    root = scratch(spark, "three-batches")
+    rows = landing(spark, sf)
+    for k in (0, 1, 2, 2):
+        tables = run_batch(spark, rows.filter(F.col("row_seq") % 3 == k), root, ["row_seq"], now=dt.datetime(2026, 1, 1 + k), token=f"part {k}", keep=1)
+    return tables["fact_abonnements"]
+
+
+@query("batches_at_once", with_(TO_FACT, """SELECT f.msisdn, f.kit_code, f.date_id, f.debit, f.creation_day, o.nom_offre, g.city, g.locality_name, d.dealer_id, CAST(2 AS BIGINT) AS batches
+ FROM fact f JOIN dim_offer o USING (offre_id) JOIN dim_geo g USING (geo_id) JOIN dim_dealer d USING (dealer_id_pk)"""))
+def batches_at_once(spark, sf):
+    """Two batches started together, each with its own numbers, claim two versions and lose nothing of each other."""
+    root = scratch(spark, "at-once")
+    rows = landing(spark, sf)
+    odd = F.substring("msisdn", -1, 1).isin("1", "3", "5", "7", "9")
+    parts = [rows.filter(F.coalesce(odd, F.lit(False)) == side) for side in (True, False)]
+    with ThreadPoolExecutor(2) as pool:
+        for run in [pool.submit(run_batch, spark, part, root, ["row_seq"]) for part in parts]:
+            run.result()
+    store = Warehouse(spark, root)
+    fact, offer, geo, dealer = (store.read(n) for n in ("fact_abonnements", "dim_offer", "dim_geo", "dim_dealer"))
+    return fact.join(offer, "offre_id").join(geo, "geo_id").join(dealer, "dealer_id_pk").select(
+        "msisdn", "kit_code", "date_id", "debit", "creation_day", "nom_offre", "city", "locality_name", "dealer_id",
+        F.lit(len(store.versions("fact_abonnements"))).cast("bigint").alias("batches"))
+
+
 @query("audit_log", with_(TO_FACT, "SELECT 'COMPLETED' AS status, count(*) AS total_records_read, count(*) AS total_records_processed,"
        " (SELECT count(*) FROM fact) AS total_records_loaded, count(*) FILTER (NOT is_valid) AS total_records_rejected FROM clean"))
 def audit_log(spark, sf):

@@ -21,6 +21,13 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(r.path for r in listing.collect())
 
 
+def copy_file(spark: SparkSession, path: str, target: str) -> None:
+    """Copy a file to a place that may be on another file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, there = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(target)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, there.getFileSystem(conf), there, False, conf)
+
+
 def move_file(spark: SparkSession, path: str, target: str) -> None:
     """Move a file; one that has been moved before is left alone."""
     jvm = spark.sparkContext._jvm
