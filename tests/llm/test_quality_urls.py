@@ -3,9 +3,11 @@
 import math
 import re
 import struct
+from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import quality, urls
 
@@ -53,47 +55,48 @@ TEXTS = [
 
 def test_base_counts(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    got = {r.doc_id: r for r in quality.score(df, [0.0] * quality.BUCKETS).collect()}
+    none = quality.Ratios(spark.createDataFrame([], "bucket long, ratio double"), 0.0)
+    got = {r.doc_id: r for r in quality.score(df, none).collect()}
     for i, t in enumerate(TEXTS):
         r = got[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(t), (i, t and t[:50])
         assert r.text == t and r.score == 0 and r.kept == (not r.base_failed)
 
 
-def test_score_is_the_mean_log_ratio(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+@pytest.mark.parametrize("share", [quality.SHARE, 500])
+def test_score_is_the_mean_log_ratio(spark, sf, share):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.limit(20)).unionAll(spark.createDataFrame([(None, None), (-1, ""), (-2, "one"), (None, "two words")], docs.schema))
     labels = spark.read.parquet(f"{sf}/labels.parquet")
-    rows = docs.select("doc_id", "text").collect()
+    rows = docs.collect()
     good = {r.doc_id for r in labels.collect() if r.quality == 1}
-    raw, target = [0] * quality.BUCKETS, [0] * quality.BUCKETS
-    for r in rows:
-        for b in grams(r.text):
-            raw[b] += 1
-            target[b] += r.doc_id in good
-    share = sum(target) / sum(raw)
-    ratio = [math.log((t + quality.PRIOR) / (n * share + quality.PRIOR)) for t, n in zip(target, raw)]
-    got = {r.doc_id: r for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    raw, target = Counter(), Counter()
     for r in rows:
+        raw.update(grams(r.text))
+        target.update(grams(r.text) if r.doc_id in good else [])
+    total, part = sum(raw.values()), sum(target.values()) / sum(raw.values())
+
+    def ratio(t, n):
+        return math.log((t + quality.PRIOR) / (n * part + quality.PRIOR))
+
+    own = {b: ratio(target[b], n) for b, n in raw.items() if n >= quality.FEWEST and n * share >= total}
+    rest = ratio(sum(n for b, n in target.items() if b not in own), sum(n for b, n in raw.items() if b not in own))
+    fitted = quality.fit(docs, labels, share=share)
+    assert {r.bucket: r.ratio for r in fitted.table.collect()} == pytest.approx(own, abs=1e-9) and 10 < len(own) <= share
+    assert fitted.rest == pytest.approx(rest, abs=1e-9)
+    got = quality.score(docs, fitted).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted((r.doc_id or 0, r.text or "") for r in rows)
+    for r in got:
         g = grams(r.text)
-        want = sum(ratio[b] for b in g) / len(g) if g else 0.0
-        assert got[r.doc_id].score == pytest.approx(want, abs=1e-9)
-        assert got[r.doc_id].kept == (not base(r.text)[-1] and got[r.doc_id].score >= quality.THRESHOLD)
+        assert r.score == pytest.approx(sum(own.get(b, rest) for b in g) / len(g) if g else 0.0, abs=1e-9)
+        assert r.kept == (not base(r.text)[-1] and r.score >= quality.THRESHOLD)
 
 
-def test_buckets_grow_and_a_table_of_ratios_scores_as_the_list(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    docs = docs.unionAll(docs.limit(20)).unionAll(spark.createDataFrame([(None, None), (-1, ""), (-2, "one")], docs.schema))
-    labels = spark.read.parquet(f"{sf}/labels.parquet")
-    table = quality.fit(docs, labels, buckets=1 << 8)
-    grams = sum(len(list(WORD.finditer(r.text or ""))) * 2 - bool(WORD.search(r.text or "")) for r in docs.collect())
-    assert table.buckets // 2 * quality.LOAD < grams <= table.buckets * quality.LOAD
-    ratios = [0.0] * table.buckets
-    for r in table.table.collect():
-        ratios[r.bucket] = r.ratio
-    want, got = (sorted(map(tuple, quality.score(docs, x).collect()), key=lambda r: (str(r[0]), r[1] or "")) for x in (ratios, table))
-    assert len(got) == len(want)
-    for a, b in zip(got, want):
-        assert a[:-2] == b[:-2] and a[-1] == b[-1] and a[-2] == pytest.approx(b[-2], abs=1e-9)
+def test_ratios_are_few_however_many_ngrams(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 40), i -> concat('w', pmod(hash(id, i), 5 * i)))) AS text")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    fitted = quality.fit(docs, labels, share=300)
+    assert 0 < fitted.table.count() <= 300
 
 
 def test_quality_without_labels_rows_or_names_of_its_own(spark):
@@ -152,3 +155,24 @@ def test_urls_with_clashing_names_and_nothing(spark):
     assert urls.judge(df.limit(0), rules).count() == 0
     assert urls.judge(df, rules.limit(0)).first().verdict == "allow"
     assert urls.judge(df.select("url"), rules).columns == ["url", "host", "path", "rule", "verdict"]
+
+
+def test_one_very_common_url_is_split(spark):
+    """Nine tenths of the rows have no url, and no side is small enough to be broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 60_000, 1, 8).selectExpr("id AS page_id", "CASE WHEN id % 10 = 0 THEN concat('http://h', id, '.net/p') END AS url")
+        out = urls.judge(df, urls.rule_list(spark, RULES))
+        out.write.format("noop").mode("overwrite").save()
+        assert out.groupBy("verdict").count().collect() is not None
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan.split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,9 +1,8 @@
 """Quality rules: base counts of a text, and a hashed n-gram likelihood ratio between trusted and raw documents."""
 
-import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.session import lookup, settle
@@ -11,10 +10,10 @@ from tidemark.session import lookup, settle
 #: White space of the word rule, as a Java character class.
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 5
-#: Hash buckets of the multinomials at least, pseudo-count that draws a bucket's ratio to one, and smallest score that is kept.
-BUCKETS = 1 << 16
-#: N-grams to a bucket, at most, on average.
-LOAD = 8
+#: Hash buckets that n-grams are counted in. A bucket has a ratio of its own if it holds one n-gram in SHARE of all, and
+#: FEWEST of them; SHARE buckets do at most. All other n-grams are one event of the multinomials.
+BUCKETS, SHARE, FEWEST = 1 << 24, 1 << 20, 8
+#: Pseudo-count that draws an event's ratio to one, and smallest score that is kept.
 PRIOR = 5.0
 THRESHOLD = -0.2
 MIN_WORDS = 10
@@ -22,14 +21,15 @@ MAX_REPEATED = 20
 
 
 class Ratios(NamedTuple):
-    """A table (bucket, ratio) of log ratios, and the number of buckets, which is a power of two."""
+    """A table (bucket, ratio) of log ratios, of `SHARE` rows at most, and the log ratio of all other n-grams."""
 
-    buckets: int
     table: DataFrame
+    rest: float
+    buckets: int = BUCKETS
 
 
 def _text(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(F.col(_quoted(column)), F.lit(""))
 
 
 def words(text: Column) -> Column:
@@ -54,45 +54,57 @@ def _pairs(h: Column) -> Column:
     return _joined(h, _from(h, 1, n), n)
 
 
-def ngram_counts(df: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, raw, target): n-grams of all rows, and of the rows for which `trusted` holds, by hash bucket."""
-    hashed = df.select(F.coalesce(trusted, F.lit(False)).alias("t"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
-    grams = hashed.select("t", F.explode(F.concat("h", _pairs(F.col("h")))).alias("g"))
-    return grams.groupBy(F.col("g").bitwiseAND(F.lit(buckets - 1).cast("bigint")).alias("bucket")).agg(
-        F.count("*").alias("raw"), F.sum(F.col("t").cast("bigint")).alias("target")
-    )
+def _hashes(text: str) -> Column:
+    """Hashes of a text's words in order."""
+    return F.transform(words(_text(text)), lambda w: F.xxhash64(w))
+
 
+def _exploded(df: DataFrame, buckets: int, empty: bool = False) -> DataFrame:
+    """A row (columns, bucket) for each n-gram of the words hashed in `h`; with `empty`, rows without a word have a null one."""
+    names = df.columns[:-1]
+    after = F.slice("h", 2, F.greatest(F.size("h") - 1, F.lit(0)))  # the word after each; the last has none
+    both = F.arrays_zip("h", after.alias("next"))
+    both = df.select(*names, (F.explode_outer if empty else F.explode)(both).alias("g"))
+    pair = F.when(F.col("g.next").isNotNull(), F.xxhash64("g.h", "g.next"))
+    grams = both.select(*names, F.col("g.h").alias("word"), F.explode(F.array("g.h", pair)).alias("g"))
+    grams = grams.filter("g IS NOT NULL OR word IS NULL" if empty else "g IS NOT NULL")
+    return grams.select(*names, F.col("g").bitwiseAND(F.lit(buckets - 1).cast("bigint")).alias("bucket"))
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> list[float]:
-    """Log ratio of target to raw multinomial by bucket; at most `buckets` numbers come to the driver.
 
-    `buckets` is a power of two. A bucket's expected target count follows from its raw count; `prior` pseudo-counts on both sides draw rare buckets to
-    a ratio of one. Without trusted or raw n-grams every ratio is one.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
+        share: int = SHARE, prior: float = PRIOR) -> Ratios:
+    """Log ratios of the target multinomial, of all documents that `labels` trusts, to the raw one, of all documents.
+
+    N-grams are counted by hash bucket over all documents. What is told apart follows from shares of all n-grams, so the
+    model is as fine at every size: a bucket with one n-gram in `share`, and `FEWEST` at least, is an event of its own, and the
+    many rare ones are one event together. `prior` pseudo-counts draw events of few n-grams to a ratio of one, against the
+    target count that follows from the raw one. Without trusted or raw n-grams every ratio is one. Rows with a null key are
+    raw only; a document that is in the table more than once counts as often.
     """
-    rows = counts.collect()
-    raw, target = sum(r.raw for r in rows), sum(r.target for r in rows)
-    out = [0.0] * buckets
-    for r in rows if raw and target else []:
-        out[r.bucket] = math.log((r.target + prior) / (r.raw * (target / raw) + prior))
-    return out
+    seen = Observation()
+    raw = _exploded(docs.select(_hashes(text).alias("h")), buckets).groupBy("bucket").agg(F.count("*").alias("raw"))
+    counts = settle(raw.observe(seen, F.sum("raw").alias("raw")).filter(F.col("raw") >= FEWEST))
+    total = seen.get["raw"] or 0
+    common = F.broadcast(settle(counts.filter(F.col("raw") * share >= total)))
+    ids = lookup(trusted_ids(labels, key))
+    trusted = docs.select(F.col(_quoted(key)).alias("k"), F.col(_quoted(text)).alias("text")).join(ids, F.col("k") == F.col("trusted_id"), "left_semi")
+    own = _exploded(trusted.select(_hashes("text").alias("h")), buckets).join(common.withColumnRenamed("bucket", "b"), F.col("bucket") == F.col("b"), "left")
+    target = settle(own.groupBy(F.col("b").alias("bucket")).agg(F.count("*").alias("target")))
+    every = target.agg(F.sum("target").alias("n"), F.sum(F.when(F.col("bucket").isNull(), F.col("target"))).alias("rest")).first()
+    known = common.agg(F.sum("raw").alias("n")).first().n or 0
+    part = (every.n or 0) / total if total else 0.0
 
+    def ratio(hits, all_):
+        return F.log((hits + prior) / (all_ * part + prior)) if part else F.lit(0.0)
 
-def ratio_table(counts: DataFrame, prior: float = PRIOR) -> DataFrame:
-    """(bucket, ratio): what `log_ratios` gives, as a table."""
-    counts = settle(counts)
-    all_ = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
-    share = all_.target / all_.raw if all_.raw else 0.0
-    ratio = F.log((F.col("target") + prior) / (F.col("raw") * share + prior)) if share else F.lit(0.0)
-    return settle(counts.select("bucket", ratio.alias("ratio")))
+    table = common.join(target, "bucket", "left").select("bucket", ratio(F.coalesce("target", F.lit(0)), F.col("raw")).alias("ratio"))
+    rest = docs.sparkSession.range(1).select(ratio(F.lit(every.rest or 0), F.lit(total - known))).first()[0]
+    return Ratios(settle(table), rest, buckets)
 
 
-def _scores(df: DataFrame, ratios: Ratios, text: str) -> DataFrame:
-    """(digest, mean): the mean log ratio of each text's n-grams, by a 64-bit hash of the text; equal texts have equal means."""
-    hashed = df.select(F.xxhash64(_text(text)).alias("digest"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
-    grams = hashed.select("digest", F.explode(F.concat("h", _pairs(F.col("h")))).alias("g"))
-    grams = grams.select("digest", F.col("g").bitwiseAND(F.lit(ratios.buckets - 1).cast("bigint")).alias("bucket"))
-    found = grams.join(ratios.table, "bucket", "left").groupBy("digest")
-    return settle(found.agg(F.avg(F.coalesce("ratio", F.lit(0.0))).alias("mean")))
+def _digest(text: str) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(_text(text)).alias("d1"), F.xxhash64(F.lit(1), _text(text)).alias("d2")]
 
 
 def _repeated_words(n: Column) -> Column:
@@ -118,28 +130,15 @@ def _repeated_words(n: Column) -> Column:
     return F.when(F.size(F.array_distinct("win")) < F.size("win"), found).otherwise(F.lit(0)).cast("bigint")
 
 
-def score(df: DataFrame, ratios: list[float] | Ratios, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Add the base counts, `base_failed`, the length-normalised `score` and `kept` to every row.
-
-    n_words, word_chars (code points in words), n_symbols, n_dup_lines and n_repeat_words are long. `base_failed`: fewer
-    than ten words, or more than a fifth of them in repeated windows of five. `score` is the mean log ratio of a text's
-    n-grams, 0 without any. `kept`: not base_failed and score at or above the threshold. A null text counts as empty.
-    Columns of the input with one of these names are replaced. `ratios` is a list by bucket, or a table that is joined to
-    the n-grams by bucket; then texts are told apart by a 64-bit hash.
-    """
-    joined = isinstance(ratios, Ratios)
-    ours = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    keep = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in ours]
-    table = None if joined else F.from_json(F.lit("[" + ",".join(repr(x) for x in ratios) + "]"), "array<double>")
+def _base(df: DataFrame, text: str) -> DataFrame:
+    """Base counts of each row's text beside the text's digest, and the hashes of its words."""
     lines = F.filter(F.split(_text(text), "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
-    held = [F.struct(*keep).alias("row")] if keep else [F.struct(F.lit(None).alias("_")).alias("row")]
     made = df.select(
-        *held, words(F.col(text)).alias("w"),
+        *_digest(text), words(_text(text)).alias("w"),
         F.length(F.regexp_replace(_text(text), r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"), lines.alias("lines"),
-        F.xxhash64(_text(text)).alias("digest"),
     )
     made = made.select(
-        "row", "digest", "n_symbols", F.size("w").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
+        "d1", "d2", "n_symbols", F.size("w").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.transform("w", lambda w: F.xxhash64(w)).alias("h"),
     )
@@ -147,19 +146,30 @@ def score(df: DataFrame, ratios: list[float] | Ratios, text: str = "text", thres
     made = made.select("*", _pairs(F.col("h")).alias("pairs"))
     made = made.select("*", _joined(F.col("pairs"), _from(F.col("pairs"), 2, n - 3), n - 3).alias("fours"))
     made = made.select("*", _joined(F.col("fours"), _from(F.col("h"), 4, n - 4), n - 4).alias("win"))
-    made = made.withColumn("n_repeat_words", _repeated_words(F.col("n"))).withColumn("n_words", F.col("n").cast("bigint"))
-    if joined:
-        made = made.select("row", "digest", "n_symbols", "word_chars", "n_dup_lines", "n_repeat_words", "n_words")
-        made = made.join(_scores(df, ratios, text), "digest", "left").withColumn("score", F.coalesce("mean", F.lit(0.0)))
-    else:
-        mask = len(ratios) - 1
-        total = F.aggregate(F.concat("h", "pairs"), F.lit(0.0), lambda a, g: a + F.get(table, g.bitwiseAND(mask)))
-        made = made.withColumn("score", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0)))
+    return made.select("d1", "d2", n.cast("bigint").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+                       _repeated_words(n).alias("n_repeat_words"), "h")
+
+
+def score(df: DataFrame, ratios: Ratios, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Add the base counts, `base_failed`, the length-normalised `score` and `kept` to every row.
+
+    n_words, word_chars (code points in words), n_symbols, n_dup_lines and n_repeat_words are long. `base_failed`: fewer
+    than ten words, or more than a fifth of them in repeated windows of five. `score` is the mean log ratio of a text's
+    n-grams, 0 without any. `kept`: not base_failed and score at or above the threshold. A null text counts as empty.
+    Columns of the input with one of these names are replaced. Each different text is judged once, into a written table
+    under a digest of 128 bits, and rows are joined to it; so a filter on `kept` works nothing out again.
+    """
+    ours = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+    keep = [F.col(_quoted(c)) for c in df.columns if c.lower() not in ours]
+    base = _base(df.select(F.col(_quoted(text)).alias("text")), "text")
+    ratio = F.when(F.col("bucket").isNotNull(), F.coalesce("ratio", F.lit(ratios.rest)))
+    grams = _exploded(base, ratios.buckets, True).join(F.broadcast(ratios.table), "bucket", "left")
+    judged = grams.groupBy(*base.columns[:-1]).agg(F.avg(ratio).alias("mean"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    # A filter on `kept` stops above the row number: below it, it would work out all that `kept` stands on once more.
-    made = made.withColumn("base_failed", failed).withColumn("number", F.monotonically_increasing_id())
-    made = made.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & (F.col("number") >= 0))
-    return made.select(*([F.col("row.*")] if keep else []), *ours)
+    judged = judged.withColumn("base_failed", failed).withColumn("score", F.coalesce("mean", F.lit(0.0)))
+    judged = settle(judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select("d1", "d2", *ours))
+    rows = df.select(F.struct(*(keep or [F.lit(0).alias("_")])).alias("row"), *_digest(text))
+    return rows.join(judged, ["d1", "d2"]).select(*([F.col("row.*")] if keep else []), *ours)
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> DataFrame:
@@ -170,20 +180,5 @@ def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality"
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-        prior: float = PRIOR) -> list[float] | Ratios:
-    """Log ratios from all documents against those that `labels` trusts. Without labels every document scores 0.
-
-    The raw multinomial counts every document, the target all trusted ones. There are `buckets` at least, and as many more
-    as keep the mean load of n-grams at `LOAD`; ratios of more than `buckets` are a table, which never comes to the driver.
-    """
-    held = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
-    n = F.size(words(F.col("text"))).cast("bigint")
-    grams = held.agg(F.sum(F.greatest(2 * n - 1, F.lit(0)))).first()[0] or 0
-    ids = lookup(trusted_ids(labels, key))
-    marked = held.join(ids, held.k == ids.trusted_id, "left")
-    least = buckets
-    while buckets * LOAD < grams:
-        buckets *= 2
-    counts = ngram_counts(marked, F.col("trusted_id").isNotNull(), "text", buckets)
-    return log_ratios(counts, buckets, prior) if buckets == least else Ratios(buckets, ratio_table(counts, prior))
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
