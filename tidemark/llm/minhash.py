@@ -57,7 +57,7 @@ def signature(sets: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
 
 
 def _signed(batches, bands, rows):
-    for batch in batches:
+    for batch in words.given_back(batches):
         for part, data, offsets in words.pieces(batch, "text"):
             sets, at = _sets(data, offsets)
             count = np.diff(at)
@@ -98,7 +98,7 @@ def signatures(df: DataFrame, key: str = "doc_id", text: str = "text", bands: in
 def shingle_sets(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, shingles): each row's distinct shingle hashes."""
     def made(batches):
-        for batch in batches:
+        for batch in words.given_back(batches):
             for part, data, offsets in words.pieces(batch, "text"):
                 sets, at = _sets(data, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))

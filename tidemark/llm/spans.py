@@ -86,7 +86,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, whole: bool = False):
 def spans(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(key, at, h1, h2): every span of rows with a key; `at` is the number of its first sentence."""
     def made(batches):
-        for batch in batches:
+        for batch in words.given_back(batches):
             for part, data, offsets in words.pieces(batch, "text"):
                 _, _, of, at, _, h1, h2 = _runs(data, offsets, whole)
                 yield pa.RecordBatch.from_arrays(

@@ -164,7 +164,7 @@ def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray
 def encoded(batches, path: str, end: int, key: str = "key", text: str = "text"):
     """(keys, ids, offsets) for a few megabytes of rows at a time, with the end id after each text."""
     enc = encoder(path)
-    for batch in batches:
+    for batch in words.given_back(batches):
         for part, data, offsets in words.pieces(batch, text):
             yield (part.column(key), *with_end(*enc.encode(data, offsets), end))
 

@@ -4,6 +4,7 @@ The functions work on half a megabyte of text at a time (`pieces`), so arrays fi
 however many rows a batch has; one text longer than that is a piece of its own.
 """
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,15 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         row = end
 
 
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; at their end, freed memory goes back to the system, which a worker else keeps until it is next used."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of every word; words end at separators and with their document."""
     if not len(data):
