@@ -114,11 +114,16 @@ def test_trees_beat_the_mean(spark, series, values):
 
 def test_evaluate_pick_and_forecast(spark, series):
     settings = {"maxIter": 3}
-    errors = P.evaluate(series, tree_settings=settings)
+    errors, predictions = P.evaluate_with_predictions(series, tree_settings=settings)
     rows = errors.collect()
-    assert len(rows) == 2 * len(P.MODELS)
+    assert len(rows) == 2 * len(P.MODELS) and all(r["status"] == "fitted" and r["training_time"] > 0 for r in rows)
     best = E.best_model(errors)
-    ahead = P.forecast(series, best, 30, tree_settings=settings).collect()
+    ahead = P.forecast(series, best, 30, tree_settings=settings, predictions=predictions).collect()
+    assert all(r["yhat_lower"] <= r["yhat_upper"] and r["bounds"] in ("own", "pooled") for r in ahead)
+    winners = E.winner_score(errors, ["series_key"]).collect()
+    assert max(r["overall_rank"] for r in winners) >= 4
+    covered = P.coverage(predictions).collect()
+    assert len(covered) == 8 and all(0 <= r["covered"] <= 1 for r in covered)
     assert len(ahead) == 60 and {r["model"] for r in ahead} == {r["model"] for r in best.collect()}
     assert min(r["date"] for r in ahead) == dt.date(2024, 1, 1) + dt.timedelta(days=240)
 
@@ -159,3 +164,15 @@ def test_importances_name_the_features(spark, series):
     model = trees.fit(frame, columns, maxIter=3)
     named = dict(trees.importances(model))
     assert set(named) == set(columns) and sum(named.values()) == pytest.approx(1.0)
+
+
+def test_models_that_are_refused_keep_their_row(spark, series):
+    short = series.limit(0).unionByName(series.filter("series_key = 'a'").orderBy("date").limit(2).withColumn("series_key", F.lit("short")))
+    errors = P.evaluate(series.unionByName(short), ["Exp Smoothing", "Trend", "Seasonal AR"])
+    rows = {(r["series_key"], r["model"]): r for r in errors.collect()}
+    assert len(rows) == 9
+    refused = rows["short", "Seasonal AR"]
+    assert (refused["status"], refused["MAPE"], refused["n_test"]) == ("refused", None, 0)
+    assert rows["a", "Seasonal AR"]["status"] == "fitted" and rows["short", "Trend"]["n_test"] == 1
+    best = {r["series_key"]: r["model"] for r in E.best_model(errors).collect()}
+    assert set(best) == {"a", "b", "short"} and best["short"] != "Seasonal AR"

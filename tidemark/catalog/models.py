@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.catalog.base import FACT, TO_FIRST, query, rounded, scratch, staged, with_
 from tidemark.catalog.series import (
-    FILLED, LEVELS, NAIVE, TO_FILLED, TO_NAIVE, clean_rows, filled, flagged, forecast_rows, metric_sql, naive, r6, smooth_sql, FORECAST,
+    NAIVE, TO_FILLED, TO_NAIVE, clean_rows, filled, flagged, forecast_rows, metric_sql, naive, r6, smooth_sql, FORECAST, W,
 )
 from tidemark.operators import evaluate as E
 from tidemark.operators import features as X
@@ -89,46 +89,49 @@ def tree_tuning(spark, sf):
 
 
 def _evaluation(spark, sf):
-    """Test errors of all models, kept as a table between queries."""
-
-    def build(root):
-        P.evaluate(filled(spark, sf)).write.parquet(root)
-        return spark.read.parquet(root)
-
-    return staged(spark, sf, "evaluation", build)
+    """Test errors and test predictions of all models, kept between queries."""
+    return staged(spark, sf, "evaluation", lambda root: tuple(map(settle, P.evaluate_with_predictions(filled(spark, sf)))))
 
 
 @query("evaluate_models")
 def evaluate_models(spark, sf):
-    return rounded(_evaluation(spark, sf))
+    return rounded(_evaluation(spark, sf)[0])
 
 
 @query("best_model")
 def best_model(spark, sf):
-    return rounded(E.best_model(_evaluation(spark, sf)))
+    return rounded(E.best_model(_evaluation(spark, sf)[0]))
 
 
 @query("top3_models")
 def top3_models(spark, sf):
-    return rounded(E.ranked_models(_evaluation(spark, sf), top=3))
+    return rounded(E.ranked_models(_evaluation(spark, sf)[0], top=3))
 
 
 @query("best_model_forecast")
 def best_model_forecast(spark, sf):
-    return rounded(P.forecast(filled(spark, sf), E.best_model(_evaluation(spark, sf))))
+    errors, predictions = _evaluation(spark, sf)
+    return rounded(P.forecast(filled(spark, sf), E.best_model(errors), predictions=predictions))
+
+
+# The value of a week before as a held-out prediction: bounds from the earlier half of each series, held against the later.
+_HALVES = [f"h AS (SELECT *, row_number() OVER {W} - 1 < floor(count(*) OVER (PARTITION BY series_key) / 2) AS early FROM naive)", """
+own_q AS (SELECT count(*) AS k, series_key, quantile_cont(y - yhat, 0.025) AS low, quantile_cont(y - yhat, 0.975) AS high FROM h WHERE early GROUP BY series_key)""", """
+pooled_q AS (SELECT quantile_cont(y - yhat, 0.025) AS low, quantile_cont(y - yhat, 0.975) AS high FROM h WHERE early)""", """
+bounded AS (SELECT h.series_key, y, yhat + CASE WHEN k >= 30 THEN q.low ELSE p.low END AS lo, yhat + CASE WHEN k >= 30 THEN q.high ELSE p.high END AS hi,
+ CASE WHEN k >= 30 THEN 'own' ELSE 'pooled' END AS bounds FROM h CROSS JOIN pooled_q p LEFT JOIN own_q q ON q.series_key = h.series_key WHERE NOT early)"""]
 
 
-_SEGMENTS = FILLED.replace(
-    "series_key='all' OR (series_key LIKE 'governorate=%' AND series_key NOT LIKE '%|%')",
-    "(series_key LIKE 'governorate=%' OR series_key LIKE 'category=%') AND series_key NOT LIKE '%|%'")
+@query("interval_coverage", with_(TO_NAIVE + _HALVES, f"""SELECT series_key, 'lag 7' AS model, count(*) AS days, {r6('avg(CAST(y BETWEEN lo AND hi AS DOUBLE))', 'covered')}, min(bounds) AS bounds FROM bounded GROUP BY series_key"""))
+def interval_coverage(spark, sf):
+    return rounded(P.coverage(naive(spark, sf).withColumn("model", F.lit("lag 7"))))
 
 
-@query("segment_forecasts", with_(TO_FIRST + [LEVELS, _SEGMENTS] + smooth_sql(("Holt-Winters",)), f"""SELECT series_key, kind, h AS horizon, CAST(last_date + h AS DATE) AS date, {r6('lev + h*tr + se[(h-1)%len(se)+1]', 'yhat')}
- FROM bestp, (SELECT CAST(unnest(generate_series(1, 30)) AS INTEGER) AS h)"""))
+@query("segment_forecasts", with_(TO_FILLED + smooth_sql(("Holt-Winters",)), f"""SELECT series_key, kind, h AS horizon, CAST(last_date + h AS DATE) AS date, {r6('lev + h*tr + se[(h-1)%len(se)+1]', 'yhat')}
+ FROM bestp, (SELECT CAST(unnest(generate_series(1, 30)) AS INTEGER) AS h) WHERE series_key <> 'all'"""))
 def segment_forecasts(spark, sf):
-    """A forecast of its own for every governorate and category."""
-    segments = S.fill_gaps(S.daily_levels(clean_rows(spark, sf), ("governorate", "category")))
-    return rounded(smoothing.smooth(segments, "Holt-Winters", fixed.SHORT_HORIZON))
+    """A forecast of its own for every governorate, every category and their pairs."""
+    return rounded(smoothing.smooth(filled(spark, sf).filter("series_key <> 'all'"), "Holt-Winters", fixed.SHORT_HORIZON))
 
 
 @query("tree_backtest")

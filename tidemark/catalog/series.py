@@ -23,7 +23,7 @@ levels AS (SELECT series_key, date, CAST(sum(c) AS BIGINT) AS nb_abonnements FRO
  UNION ALL SELECT 'governorate=' || governorate || '|category=' || offer_category, date, c FROM finest)
  WHERE series_key IS NOT NULL GROUP BY ALL)"""
 FILLED = """
-spans AS (SELECT series_key, min(date) AS a, max(date) AS b FROM levels WHERE series_key='all' OR (series_key LIKE 'governorate=%' AND series_key NOT LIKE '%|%') GROUP BY 1),
+spans AS (SELECT series_key, min(date) AS a, max(date) AS b FROM levels GROUP BY 1),
 days AS (SELECT series_key, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM spans),
 filled AS (SELECT d.series_key, d.date, coalesce(l.nb_abonnements, 0) AS nb_abonnements FROM days d LEFT JOIN levels l USING (series_key, date)),
 ind AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY date) - 1 AS idx, count(*) OVER (PARTITION BY series_key) AS n FROM filled)"""
@@ -71,10 +71,10 @@ def levels(spark, sf):
 
 
 def filled(spark, sf):
-    """Gap-free daily series of all rows and of every governorate, kept as a table between queries."""
+    """Gap-free daily series of all rows, every governorate, every category and their pairs, kept as a table between queries."""
 
     def build(root):
-        S.fill_gaps(S.daily_levels(clean_rows(spark, sf), ("all", "governorate"))).write.parquet(root)
+        S.fill_gaps(S.daily_levels(clean_rows(spark, sf))).write.parquet(root)
         return spark.read.parquet(root)
 
     return staged(spark, sf, "daily-series", build)
@@ -97,7 +97,7 @@ def daily_levels(spark, sf):
     return levels(spark, sf)
 
 
-@query("daily_by_governorate", with_(TO_FILLED, "SELECT substr(series_key, 13) AS governorate, date, nb_abonnements FROM filled WHERE series_key <> 'all'"))
+@query("daily_by_governorate", with_(TO_FILLED, "SELECT substr(series_key, 13) AS governorate, date, nb_abonnements FROM filled WHERE series_key LIKE 'governorate=%' AND series_key NOT LIKE '%|%'"))
 def daily_by_governorate(spark, sf):
     """Gap-filled daily subscriptions by governorate, from landing rows on."""
     from tidemark.catalog.base import judged
@@ -110,7 +110,7 @@ def daily_by_governorate(spark, sf):
 
 @query("gap_fill", with_(TO_FILLED, "SELECT * FROM filled"))
 def gap_fill(spark, sf):
-    return S.fill_gaps(S.daily_levels(clean_rows(spark, sf), ("all", "governorate")))
+    return S.fill_gaps(levels(spark, sf))
 
 
 @query("detail_scan", with_(TO_FIRST, f"""SELECT date, governorate, debit, jour_semaine, mois, trimestre, est_weekend, est_ferie, offre_categorie FROM

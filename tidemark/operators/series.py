@@ -34,7 +34,7 @@ def daily_levels(clean: DataFrame, levels=("all", "governorate", "category", "go
     finest = daily(clean, ["governorate", "offer_category"])
     gov = F.concat(F.lit("governorate="), F.col("governorate"))
     cat = F.concat(F.lit("category="), F.col("offer_category"))
-    keys = {"all": F.lit("all"), "governorate": gov, "category": cat, "governorate_category": F.concat_ws("|", gov, cat)}
+    keys = {"all": F.lit("all"), "governorate": gov, "category": cat, "governorate_category": F.concat(gov, F.lit("|"), cat)}
     named = finest.select("date", "nb_abonnements", F.explode(F.array(*[keys[n] for n in levels])).alias("series_key"))
     return (
         named.filter(F.col("series_key").isNotNull()).groupBy("series_key", "date")
