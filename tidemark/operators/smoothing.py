@@ -1,8 +1,10 @@
-"""Exponential smoothing: every series and parameter row is one fold over the series' values."""
+"""Exponential smoothing: one pass over each series' values, with all parameter rows side by side."""
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -29,60 +31,56 @@ def series_lists(series: DataFrame, by=S.KEY, y="nb_abonnements") -> DataFrame:
     return series.groupBy(*by).agg(values.alias("ys"), F.max("date").alias("last_date"))
 
 
-def _mean(values: Column, start: int, length: int) -> Column:
-    return F.aggregate(F.slice(values, start, length), F.lit(0.0), lambda a, v: a + v) / length
-
-
-def _fold(values: Column, start: Column, alpha: Column, beta: Column, gamma: Column, period: int) -> Column:
-    """State after all values. Season fields s1.. form a queue whose head belongs to the value at hand."""
-
-    def step(state, v):
-        level, trend, head = state["level"], state["trend"], state["s1"]
+def _folded(values: np.ndarray, kind: str, grid, period: int):
+    """(place in the grid, level, trend, season from the next value on, squared error) of the best row, or none for a short series."""
+    skip = period if kind == "Holt-Winters" else 1
+    if len(values) < 2 * skip:
+        return None
+    alpha, beta, gamma = (np.array(x) for x in zip(*grid))
+    level, trend = np.full(len(grid), values[0]), np.zeros(len(grid))
+    season, sse = np.zeros((period, len(grid))), np.zeros(len(grid))
+    if kind == "Holt-Winters":
+        first, second = sum(values[:period]) / period, sum(values[period:2 * period]) / period
+        level[:], trend[:] = first, (second - first) / period
+        season[:] = (values[:period] - first)[:, None]
+    elif kind == "Holt":
+        trend[:] = values[1] - values[0]
+    trend_rate, season_rate = alpha * beta, gamma * (1 - alpha)
+    for t, v in enumerate(values[skip:]):
+        head = season[t % period]
         error = v - (level + trend + head)
-        moved = [state[f"s{i + 1}"].alias(f"s{i}") for i in range(1, period)]
-        return F.struct(
-            (level + trend + alpha * error).alias("level"), (trend + alpha * beta * error).alias("trend"),
-            *moved, (head + gamma * (1 - alpha) * error).alias(f"s{period}"), (state["sse"] + error * error).alias("sse"),
-        )
-
-    return F.aggregate(values, start, step)
+        level = level + trend + alpha * error
+        trend = trend + trend_rate * error
+        head += season_rate * error  # in its place in the season
+        sse += error * error
+    best = min(range(len(grid)), key=lambda i: (sse[i], *grid[i]))
+    ahead = [season[(len(values) - skip + i) % period, best] for i in range(period)]
+    return best, level[best], trend[best], ahead, sse[best]
 
 
 def fit(lists: DataFrame, by=S.KEY, kinds=("SES", "Holt", "Holt-Winters"), period=PERIOD, grids=None) -> DataFrame:
     """Per series and kind the parameters with the least in-sample squared error, and the state at the end.
 
-    `lists` comes from `series_lists`. Kinds that need more history than a series has give no row. Series and
-    parameter rows are spread over all tasks: moving a list costs far less than folding it.
+    `lists` comes from `series_lists`. Kinds that need more history than a series has give no row. Series are spread over
+    all tasks; a task walks each list once per kind, however many parameter rows there are, and each list is moved once.
     """
     grids = grids or GRIDS
-    ys, kind = F.col("ys"), F.col("p.kind")
-    winters = kind == "Holt-Winters"
-    table = F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
-        for k in kinds for a, b, g in grids[k]
-    ])
-    rows = (
-        lists.select(*by, "ys", "last_date", _mean(ys, 1, period).alias("_m1"), _mean(ys, period + 1, period).alias("_m2"), F.explode(table).alias("p"))
-        .filter(F.size(ys) >= F.when(winters, 2 * period).otherwise(2))
-    )
-    zero = F.lit(0.0)
-    start = F.struct(
-        F.when(winters, F.col("_m1")).otherwise(ys[0]).alias("level"),
-        F.when(winters, (F.col("_m2") - F.col("_m1")) / period).when(kind == "Holt", ys[1] - ys[0]).otherwise(zero).alias("trend"),
-        *[F.when(winters, F.get(ys, F.lit(i)) - F.col("_m1")).otherwise(zero).alias(f"s{i + 1}") for i in range(period)],
-        zero.alias("sse"),
-    )
-    skip = F.when(winters, period).otherwise(1)
-    values = F.slice(ys, skip + 1, F.size(ys) - skip)
-    state = _fold(values, start, F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"), period)
-    folded = spread(rows, *by, "p").select(*by, "last_date", F.size(ys).alias("n"), "p", state.alias("state"))
-    best = F.min_by(F.struct("p", "state", "n", "last_date"), F.struct("state.sse", "p.alpha", "p.beta", "p.gamma"))
-    chosen = folded.groupBy(*by, kind.alias("kind")).agg(best.alias("b"))
-    season = F.array(*[F.col(f"b.state.s{i + 1}") for i in range(period)])
-    return chosen.select(
-        *by, "kind", "b.p.alpha", "b.p.beta", "b.p.gamma", "b.state.level", "b.state.trend", season.alias("season"),
-        "b.state.sse", "b.n", "b.last_date",
-    )
+    types = dict(lists.dtypes)
+
+    def fitted(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                values = np.asarray(row.ys, dtype=float)
+                for kind in kinds:
+                    found = _folded(values, kind, grids[kind], period)
+                    if found:
+                        out.append((*[getattr(row, k) for k in by], kind, *grids[kind][found[0]], *found[1:], len(values), row.last_date))
+            yield pd.DataFrame(out, columns=[*by, "kind", "alpha", "beta", "gamma", "level", "trend", "season", "sse", "n", "last_date"])
+
+    schema = ", ".join(f"{k} {types[k]}" for k in by) + ", kind string, alpha double, beta double, gamma double, level double, " \
+        "trend double, season array<double>, sse double, n int, last_date date"
+    return spread(lists.select(*by, "ys", "last_date"), *by).mapInPandas(fitted, schema)
 
 
 def predict(fitted: DataFrame, horizon=fixed.HORIZON, by=S.KEY) -> DataFrame:
