@@ -74,8 +74,10 @@ def _reached(path, depth, weights):
     return all(weights.get(path[:d], 1.0) > 0 for d in range(depth + 1, len(path) + 1))
 
 
-def counted(df: DataFrame, levels: dict[str, Column], tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(levels, key, h, n_tokens) per row; h is a hash of key and text that orders follow from."""
+def counted(df: DataFrame, levels: dict[str, Column], tokenizer: str, end: int, key: str = "doc_id", text: str = "text",
+            forget: bool = False) -> DataFrame:
+    """(levels, key, h, n_tokens) per row; h is a hash of key and text that orders follow from. With `forget` a task leaves no
+    encoder in its worker."""
     def made(batches):
         for batch in batches:
             rest = [batch.column(n) for n in names]
@@ -85,6 +87,8 @@ def counted(df: DataFrame, levels: dict[str, Column], tokenizer: str, end: int,
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(at, n) for c in rest), keys, pa.array(np.diff(offsets).astype(np.int64))], names=[*names, "key", "n_tokens"])
                 at += n
+        if forget:
+            tokens.forget(tokenizer)
 
     names = [*(f"_l{i}" for i in range(len(levels))), "_h"]
     rows = df.select(
@@ -143,7 +147,7 @@ def choose(df: DataFrame, ends: DataFrame, names: list[str], order: Column, seed
 
 
 def mix(df: DataFrame, levels: dict[str, Column], weights: dict[tuple, float], tokenizer: str, end: int, fraction: float,
-        epochs: int, key: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
+        epochs: int, key: str = "doc_id", text: str = "text", seed: int = SEED, forget: bool = False) -> DataFrame:
     """Rows of df chosen so that tokens follow the target weights, with their `epoch`; all columns of df stay.
 
     `levels` are the columns of the tree from the top, null counting as an empty name. The budget is `fraction` of all
@@ -152,7 +156,7 @@ def mix(df: DataFrame, levels: dict[str, Column], weights: dict[tuple, float], t
     rows like any other; rows equal in key and text are chosen together. A column of df named `epoch` is replaced. An empty
     table gives no rows.
     """
-    rows = settle(counted(df, levels, tokenizer, end, key, text))
+    rows = settle(counted(df, levels, tokenizer, end, key, text, forget))
     ends = plan(rows, len(levels), weights, fraction, epochs, seed)
     names = [f"_l{i}" for i in range(len(levels))]
     # All columns of the input in one, so that none meets a name of ours.

@@ -53,8 +53,9 @@ def assign(sizes: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int,
 
 
 def pack(df: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-         pool: int = POOL) -> DataFrame:
-    """(key, start, length, doc_tokens, sequence_id, offset, ids) per piece; `length` is a power of two.
+         pool: int = POOL, forget: bool = False) -> DataFrame:
+    """(key, start, length, doc_tokens, sequence_id, offset, ids) per piece; `length` is a power of two. With `forget` a task
+    leaves no encoder in its worker.
 
     A document's ids are those of its whole text with the end id after it; a null or empty text is the end id alone.
     `start` counts the document's ids before the piece, `offset` the sequence's; ids are little-endian unsigned 32-bit
@@ -97,6 +98,8 @@ def pack(df: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str
                 yield flush()
         if held:
             yield flush()
+        if forget:
+            tokens.forget(tokenizer)
 
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"key {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"

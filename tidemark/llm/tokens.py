@@ -150,6 +150,12 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def forget(path: str) -> None:
+    """Give the memory of an encoder back; the next task loads it again."""
+    _ENCODERS.pop(path, None)
+    words.give_back()
+
+
 def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Append the end id to every document."""
     n = len(offsets) - 1

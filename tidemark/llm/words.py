@@ -72,6 +72,10 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
 def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task; at their end, freed memory goes back to the system, which a worker else keeps until it is next used."""
     yield from batches
+    give_back()
+
+
+def give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim:
