@@ -57,7 +57,7 @@ def test_substring_dedup_takes_repeats_out_of_every_row_but_the_first(spark):
     assert by[2] == texts[2][1] and by[4] == texts[4][1] and by[7] == texts[7][1]  # 2 is the smallest id with the passage
     middle = passage.split()[15:55]
     assert sum(" ".join(middle) in (t or "") for t in by.values()) == 1
-    assert len([t for t in by.values() if t and prose(20)[:200] in t]) == 1  # the second row with id 4 says nothing new
+    assert by[0] == by[1]  # rows that repeat id and text are one document
 
 
 @pytest.mark.parametrize("name", ["quality_rules", "mixing_weights"])

@@ -69,10 +69,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without sentences of spans that occurred before; those left without a word go. `n_chars` follows the text.
 
-    The first occurrence is that of the smallest id, null ids last; of rows with one id any may be the first. Texts that had
-    no word before stay.
+    The first occurrence is that of the smallest id, null ids last, and of texts under one id by a hash. Rows that repeat id
+    and text are one document and keep the same; near_dedup leaves none. Texts that had no word before stay.
     """
-    rows = numbered(docs).select(order().alias("order"), F.col("doc.text").alias("text"), "doc")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    rows = docs.select(place.alias("order"), "text", whole(docs).alias("doc"))
     made = spans.without_repeats(rows, "order", whole=True)
     made = made.filter((F.col("n_removed") == 0) | F.rlike("text", F.lit("[^\\x20\\x09-\\x0D]")))
     new = {"text": F.col("text").cast(docs.schema["text"].dataType)}
@@ -103,14 +104,14 @@ MIX_WEIGHTS = {(f"domain{d}", lang): w for d in range(4) for lang, w in (("en",
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen so that tokens follow the target weights, each once at most; the budget is nine tenths of the tokens."""
     rows = docs.select(whole(docs).alias("doc"), "doc_id", "text", "lang", "source")
-    mixed = mixing.mix(rows, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1)
+    mixed = mixing.mix(rows, mix_levels(), MIX_WEIGHTS, vocabulary("word_bpe_49k.json"), 1, fraction=0.9, epochs=1, forget=True)
     return mixed.select("doc.*")
 
 
 @stage
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens, with their ids."""
-    return packing.pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end=1)
+    return packing.pack(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), end=1, forget=True)
 
 
 STAGES = [
