@@ -10,7 +10,7 @@ from tidemark.operators import series as S
 
 def scenario_model(series: DataFrame, periods=(7, 30), max_lag=7, by=S.KEY, y="nb_abonnements") -> DataFrame:
     """One row per series: scale, trend line, seasonal means by phase, residual spread, autocorrelations by lag."""
-    parts = S.decompose(series, periods, by, y, scale=True)
+    parts = S.decompose(series, periods, by, y, scale=True).filter("n > 1")  # one day says nothing of what comes
     phases = [
         F.transform(
             F.array_sort(F.collect_set(F.when(F.col("idx") < p, F.struct(F.col("idx"), F.col(f"seasonal_{p}").alias("v"))))),

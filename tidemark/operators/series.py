@@ -121,7 +121,9 @@ def describe(series: DataFrame, by=KEY, y="nb_abonnements") -> DataFrame:
 
 
 def correlations(frame: DataFrame, columns=("est_weekend", "est_ferie", "mois"), by=KEY, y="nb_abonnements") -> DataFrame:
-    return frame.groupBy(*by).agg(*[F.corr(y, c).alias(f"corr_{c}") for c in columns])
+    """Pearson correlation of the value with each column; null for a series or column that never changes."""
+    return frame.groupBy(*by).agg(*[
+        F.try_divide(F.covar_pop(y, c), F.nullif(F.stddev_pop(y) * F.stddev_pop(c), F.lit(0.0))).alias(f"corr_{c}") for c in columns])
 
 
 def add_shifted(series: DataFrame, max_lag=7, by=KEY, value="residual") -> DataFrame:
@@ -136,8 +138,8 @@ def slice_correlations(max_lag=7, value="residual") -> list:
 
 
 def slice_correlation(series: DataFrame, max_lag=7, by=KEY, value="residual") -> DataFrame:
-    """Correlation of a series with itself shifted: (.., lag, autocorrelation)."""
-    wide = add_shifted(series, max_lag, by, value).groupBy(*by).agg(F.array(*slice_correlations(max_lag, value)).alias("_a"))
+    """Correlation of a series with itself shifted: (.., lag, autocorrelation). A series of one day has none."""
+    wide = add_shifted(long_enough(series, by, 2), max_lag, by, value).groupBy(*by).agg(F.array(*slice_correlations(max_lag, value)).alias("_a"))
     rows = wide.select(*by, F.posexplode("_a").alias("_pos", "autocorrelation"))
     return rows.select(*by, (F.col("_pos") + 1).alias("lag"), "autocorrelation")
 
@@ -207,9 +209,11 @@ def decompose(series: DataFrame, periods=(7, 30), by=KEY, y="nb_abonnements", sc
 
 
 def fit_summary(parts: DataFrame, periods=(7, 30), max_lag=7, by=KEY) -> DataFrame:
-    """Per series: trend slope, whether there is a trend, periods in use, residual mean and deviation, autocorrelations."""
+    """Per series: trend slope, whether there is a trend, periods in use, residual mean and deviation, autocorrelations.
+
+    A series of one day has no row."""
     auto = [c.alias(f"autocorr_{k + 1}") for k, c in enumerate(slice_correlations(max_lag))]
-    return add_shifted(parts, max_lag, by).groupBy(*by).agg(
+    return add_shifted(parts.filter("n > 1"), max_lag, by).groupBy(*by).agg(
         F.max("slope").alias("slope"),
         (F.abs(F.max_by("trend", "idx") - F.min_by("trend", "idx")) > 0.1).alias("has_trend"),
         *[F.max(F.col("n") >= 2 * p).alias(f"uses_{p}") for p in periods],
