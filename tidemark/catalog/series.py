@@ -511,7 +511,7 @@ def forecast_summary(spark, sf):
     return insight.forecast_summary(forecast_rows(spark, sf))
 
 
-@query("monthly_totals", with_(TO_FILLED + FORECAST, "SELECT series_key, CAST(date_trunc('month', date) AS DATE) AS month, round(round(sum(yhat), 6), 2) AS total, count(*) AS days FROM fc GROUP BY 1, 2"))
+@query("monthly_totals", with_(TO_FILLED + FORECAST, "SELECT series_key, CAST(date_trunc('month', date) AS DATE) AS month, floor(round(sum(yhat), 6) * 100 + 0.5) / 100 AS total, count(*) AS days FROM fc GROUP BY 1, 2"))
 def monthly_totals(spark, sf):
     return insight.monthly_totals(forecast_rows(spark, sf))
 

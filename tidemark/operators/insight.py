@@ -60,7 +60,7 @@ def forecast_summary(forecast: DataFrame, by=S.KEY, yhat="yhat") -> DataFrame:
 def monthly_totals(forecast: DataFrame, by=S.KEY, yhat="yhat") -> DataFrame:
     """Totals per month, to the cent. They are rounded to six digits first, so that the order of adding decides no half cent."""
     month = F.trunc("date", "month").alias("month")
-    return forecast.groupBy(*by, month).agg(F.round(F.round(F.sum(yhat), 6), 2).alias("total"), F.count("*").alias("days"))
+    return forecast.groupBy(*by, month).agg((F.floor(F.round(F.sum(yhat), 6) * 100 + 0.5) / 100).alias("total"), F.count("*").alias("days"))
 
 
 def request_days(requests: DataFrame) -> DataFrame:
