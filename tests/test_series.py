@@ -147,3 +147,21 @@ def test_decomposition_adds_up(spark, full):
     np.testing.assert_allclose(mine["trend"], base + slope * np.arange(len(g)), atol=1e-8)
     d = g - (base + slope * np.arange(len(g)))
     np.testing.assert_allclose(mine["seasonal_7"], [d[i % 7 :: 7].mean() for i in range(len(g))], atol=1e-8)
+
+
+def test_series_queries_build_no_star(spark, sf, monkeypatch):
+    """Series come from the first valid row of each number, the rows that the star's clean table would hold."""
+    from tidemark.catalog import base
+    from tidemark.catalog.base import QUERIES
+
+    stored = base.star_tables(spark, sf)["clean_data"].filter("is_valid")
+    columns = list(base.SERIES_COLUMNS)
+    assert sorted(map(tuple, base.first_rows(spark, sf).select(*columns).collect()), key=str) == sorted(map(tuple, stored.select(*columns).collect()), key=str)
+
+    def refuse(*args, **settings):
+        raise AssertionError("a star was built")
+
+    monkeypatch.setattr(base, "_STAGED", {})
+    monkeypatch.setattr(base, "run_batch", refuse)
+    for name in ("missing_days", "run_ranking", "best_smoothing_kind"):
+        assert QUERIES[name](spark, sf).count() > 0
