@@ -124,3 +124,14 @@ def test_hashed_normal_is_standard(spark):
     draws = spark.range(20000).select(numbers.hashed_normal(F.lit(1), F.col("id")).alias("z"))
     r = draws.agg(F.avg("z").alias("m"), F.stddev("z").alias("s"), F.count_distinct("z").alias("n")).first()
     assert abs(r["m"]) < 0.03 and abs(r["s"] - 1) < 0.03 and r["n"] > 19900
+
+
+def test_a_filter_on_the_date_parses_it_once(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import dates
+
+    text = F.concat(F.col("id").cast("string"), F.lit("-05-01 10:00:00"))
+    kept = spark.range(2018, 2030).withColumn("d", dates.parse_timestamp(text)).filter(dates.date_valid(F.col("d")))
+    assert sorted(r.id for r in kept.select("id").collect()) == list(range(2020, 2027))
+    assert kept.select("id")._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
