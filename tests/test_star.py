@@ -164,3 +164,20 @@ def test_merge_dimension_in_one_join(spark):
     got = star.merge_dimension(old, new, "id", ["k", "l"], dt.datetime(2026, 1, 2))
     assert sorted((r.id, r.k, r.l, r.v, r.updated_at.day) for r in got.filter("id < 3").collect()) == [(1, "a", None, "x", 2), (2, "b", "q", "y", 1)]
     assert sorted((r.k, r.v) for r in got.filter("id > 2").collect()) == [("b", "u"), ("c", "w")]
+
+
+def test_lookups_and_upserts_of_dimensions_build_no_star(spark, sf, monkeypatch):
+    """Dimensions for a lookup are numbered as the stored ones, and only the columns in use are cleaned."""
+    from tidemark.catalog import base
+    from tidemark.catalog import star as queries
+
+    stored = base.star_tables(spark, sf)
+    monkeypatch.setattr(base, "run_batch", None)
+    dims, _ = queries._dims_and_firsts(spark, sf)
+    for name, key in (("offer", "offre_id"), ("geo", "geo_id"), ("dealer", "dealer_id_pk"), ("time", "date_id")):
+        columns = [c for c in stored[f"dim_{name}"].columns if c != "updated_at"]
+        assert rows(dims[name], *columns) == rows(stored[f"dim_{name}"], *columns)
+    monkeypatch.setattr(base, "_STAGED", {})
+    assert base.QUERIES["null_key_count"](spark, sf).first()[0] == 0
+    first, second = queries._halves(spark, sf, "offre")
+    assert first.columns == second.columns == ["row_seq", "msisdn", "offre"]
