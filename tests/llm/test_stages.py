@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import stages
+from tidemark.llm import quality, stages
 
 EXTRA = "epoch string, _removed string, `a.b` int, row string, doc string, `order` string, component string, kept string"
 SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {EXTRA}"
@@ -70,6 +70,18 @@ def test_columns_stay_as_they_are(spark, tmp_path, name):
         assert sorted(r["a.b"] for r in out.collect()) == list(range(10))
 
 
+def test_ngrams_are_counted_in_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    docs = table(spark, TEXTS * 3).coalesce(1)
+    trusted = spark.createDataFrame([(7, 1)], "doc_id bigint, quality int")
+    plain, fits, asked = quality.fit(docs, trusted, share=10_000), quality.fit, []
+    dealt = quality.fit(docs, trusted, share=10_000, parts=8)
+    assert plain.rest == dealt.rest and plain.table.count() > 0
+    assert sorted(plain.table.collect()) == sorted(dealt.table.collect())
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: asked.append(k["parts"]) or fits(*a, **k))
+    stages.quality_rules(spark, docs, labels(spark, tmp_path)).count()
+    assert asked == [stages.COUNTING_TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
 def test_all_stages_one_after_another(spark, tmp_path):
     docs = table(spark, TEXTS)
     where = labels(spark, tmp_path)

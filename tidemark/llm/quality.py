@@ -72,17 +72,21 @@ def _exploded(df: DataFrame, buckets: int, empty: bool = False) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-        share: int = SHARE, prior: float = PRIOR) -> Ratios:
+        share: int = SHARE, prior: float = PRIOR, parts: int | None = None) -> Ratios:
     """Log ratios of the target multinomial, of all documents that `labels` trusts, to the raw one, of all documents.
 
     N-grams are counted by hash bucket over all documents. What is told apart follows from shares of all n-grams, so the
     model is as fine at every size: a bucket with one n-gram in `share`, and `FEWEST` at least, is an event of its own, and the
     many rare ones are one event together. `prior` pseudo-counts draw events of few n-grams to a ratio of one, against the
     target count that follows from the raw one. Without trusted or raw n-grams every ratio is one. Rows with a null key are
-    raw only; a document that is in the table more than once counts as often.
+    raw only; a document that is in the table more than once counts as often. A task holds a count for each of its buckets,
+    which are nearly as many as its n-grams: with `parts` the texts are first dealt to that many tasks, however large the files
+    or their row groups are.
     """
     seen = Observation()
-    raw = _exploded(docs.select(_hashes(text).alias("h")), buckets).groupBy("bucket").agg(F.count("*").alias("raw"))
+    texts = docs.select(F.col(_quoted(text)).alias("text"))
+    texts = texts.repartition(parts) if parts else texts
+    raw = _exploded(texts.select(_hashes("text").alias("h")), buckets).groupBy("bucket").agg(F.count("*").alias("raw"))
     counts = settle(raw.observe(seen, F.sum("raw").alias("raw")).filter(F.col("raw") >= FEWEST))
     total = seen.get["raw"] or 0
     common = F.broadcast(settle(counts.filter(F.col("raw") * share >= total)))

@@ -12,6 +12,8 @@ from tidemark.session import prepare, settle, shared_dir
 
 #: Rows of an Arrow batch at most: whole texts are long, and a worker holds several copies of a batch.
 BATCH_ROWS = 1_000
+#: Tasks for each shuffle partition in which the n-grams of texts are counted.
+COUNTING_TASKS = 2
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -49,7 +51,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows with null ids and repeated rows are judged by their texts like any other; null and empty texts go.
     """
-    ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    parts = COUNTING_TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), parts=parts)
     return quality.score(docs.select(whole(docs).alias("doc"), "text"), ratios).filter("kept").select("doc.*")
 
 
