@@ -128,6 +128,23 @@ def test_evaluate_pick_and_forecast(spark, series):
     assert min(r["date"] for r in ahead) == dt.date(2024, 1, 1) + dt.timedelta(days=240)
 
 
+def test_tuning_fits_trees_of_one_shape_once(spark, series, monkeypatch):
+    fit, sizes = trees.fit, []
+    monkeypatch.setattr(trees, "fit", lambda *a, **k: sizes.append(k["maxIter"]) or fit(*a, **k))
+
+    def errors(grid):
+        rows = P.tune_trees(series, grid=grid).collect()
+        return {(r["series_key"], r["config"]): (r["MAE"], r["RMSE"], r["n_test"]) for r in rows}
+
+    alone = errors([(2, 3, 0.1)]) | errors([(5, 3, 0.1)])
+    assert sizes == [2, 5]
+    together = errors([(5, 3, 0.1), (2, 3, 0.1)])
+    assert sizes == [2, 5, 5] and together.keys() == alone.keys() and len(alone) == 4
+    for key, want in alone.items():
+        assert together[key] == pytest.approx(want)
+    assert together["a", "trees=2 depth=3 rate=0.1"] != together["a", "trees=5 depth=3 rate=0.1"]
+
+
 def test_named_configurations(spark, series):
     got = P.compare_orders(series).filter("series_key = 'a'").toPandas()
     assert len(got) == len(fixed.SEASONAL_CONFIGS) and got.loc[got["config"] == fixed.SEASONAL_CONFIGS[0][0], "MAPE_improvement"].iloc[0] == 0
