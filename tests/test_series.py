@@ -165,3 +165,37 @@ def test_series_queries_build_no_star(spark, sf, monkeypatch):
     monkeypatch.setattr(base, "run_batch", refuse)
     for name in ("missing_days", "run_ranking", "best_smoothing_kind"):
         assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_first_rows_go_before_line_items_are_joined(spark, tmp_path, monkeypatch):
+    """Neither whole landing rows are written nor line items joined to rows that are not asked for; the rows stay the same."""
+    from tidemark.catalog import base
+    from tidemark.operators import clean
+    from tidemark.sources import bridge
+
+    day = dt.datetime(1996, 1, 5)
+    tables = {
+        "region": ([(0, "AFRICA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "KENYA", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(c, 0, None if c == 3 else "AUTO") for c in range(1, 9)], "c_custkey bigint, c_nationkey int, c_mktsegment string"),
+        "orders": ([(k, None if k == 77 else k % 9, None if k == 78 else day + dt.timedelta(days=k % 50)) for k in range(1, 300)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+        "lineitem": ([(k, p, 1) for k in range(1, 300) if k % 4 for p in (k % 3, 2)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint"),
+        "part": ([(0, "TIN", 3), (1, "TIN", 3), (1, "TIN", 3)], "p_partkey bigint, p_type string, p_size int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    sf, columns, sizes = str(tmp_path), list(base.SERIES_COLUMNS), []
+
+    def counted(*args):
+        view = bridge.landing_view(*args)
+        sizes.append(view.count())
+        return view
+
+    monkeypatch.setattr(base, "_STAGED", {})
+    monkeypatch.setattr(base, "landing_view", counted)
+    got = base.first_rows(spark, sf).select("row_seq", *columns)
+    assert sizes[0] < 20 and not any(name == "landing" for _, _, name in base._STAGED)
+    plain = clean.dedup_first(clean.valid_only(base.judged(spark, sf)), "msisdn", ["row_seq"]).select("row_seq", *columns)
+    assert sizes[1] > 250 and got.count() == 8
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
