@@ -90,6 +90,49 @@ def test_every_link_of_a_band_is_found(spark):
     assert [got[i] for i in range(len(texts))] == groups
 
 
+@pytest.mark.parametrize("direct", [12, minhash.DIRECT])
+def test_links_of_cut_and_composed_copies(spark, monkeypatch, direct):
+    """Copies that lack parts of the pivot, and texts made mostly of shared lines, by pivots and pair by pair."""
+    monkeypatch.setattr(minhash, "DIRECT", direct)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(70)]
+    texts = [" ".join(base[:n]) for n in range(20, 70, 4)]
+    for _ in range(30):
+        at, n = rng.randrange(60), rng.randint(5, 25)
+        texts.append(" ".join(base[:at] + base[at + n:]))
+    lines = [" ".join(f"l{k}x{i}" for i in range(12)) for k in range(4)]
+    for _ in range(50):
+        own = " ".join(f"o{rng.randrange(40)}" for _ in range(rng.randint(0, 9)))
+        texts.append(" ".join(rng.sample(lines, rng.randint(1, 3)) + [own]))
+    _, groups = near(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in minhash.near_duplicates(df, bands=64, rows=1).collect()}
+    assert [got[i] for i in range(len(texts))] == groups
+
+
+def test_a_family_of_edited_copies_is_tested_once(spark, monkeypatch):
+    """Copies that are alike to their original alone, by less than a link takes, lack the same shingles but need no further pairs."""
+    rng, base, texts = random.Random(13), [f"w{i}" for i in range(120)], []
+    for k in range(100):
+        copy = list(base)
+        for i in rng.sample(range(120), 7 if k % 4 else 3):
+            copy[i] = f"n{k}x{i}"
+        texts.append(" ".join(copy))
+    seen, tested = [], minhash._tested
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        assert sum(seen[1:]) < seen[0]
+        return tested(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "_tested", counted)
+    monkeypatch.setattr(minhash, "DIRECT", 6)
+    _, groups = near(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in minhash.near_duplicates(df, bands=64, rows=1).collect()}
+    assert [got[i] for i in range(len(texts))] == groups
+
+
 def test_near_duplicates_without_keys_or_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (2, "q")], "doc_id long, text string")
     got = sorted([tuple(r) for r in minhash.near_duplicates(df).collect()], key=str)

@@ -14,7 +14,7 @@ SHINGLE = 5
 #: 32 bands of 4 coordinates: a pair at similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
 SIMILARITY = 75
-#: Members not linked to the pivot up to which a narrowed group is compared pair by pair; beyond it it gets a pivot again.
+#: Members not linked to the pivot, or leading ones, up to which a narrowed group is compared pair by pair; beyond it it gets a pivot again.
 DIRECT = 512
 
 
@@ -134,26 +134,32 @@ def _direct(groups: DataFrame, similarity: int) -> DataFrame:
     """(a, b): members of one group in different components that can be linked by their sizes and places in the group.
 
     With d the number of shingles that only a member or the pivot has, and p the place of the group's shingle among them,
-    two members share at most 1 + min(d - p) of them if the group's is the first; `_narrower` says how many it takes.
+    two members share at most 1 + min(d - p) of them if the group's is the first; `_narrower` says how many it takes, and
+    why the one with the larger u is not linked to the pivot and the other one leads.
     """
-    x, y = (groups.select("g", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "ca", "linked", "p", "d", "u")]) for side in "xy")
-    near = (F.col("ca_x") != F.col("ca_y")) & (F.col("linked_y") | (F.col("rep_x") < F.col("rep_y"))) & (
+    x, y = (groups.filter(kind).select("g", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "ca", "p", "d", "u")])
+            for kind, side in (("lead", "x"), ("NOT linked", "y")))
+    near = (F.col("ca_x") != F.col("ca_y")) & ((F.col("u_x") < F.col("u_y")) | (F.col("u_x") == F.col("u_y")) & (F.col("rep_x") < F.col("rep_y"))) & (
         100 * F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y")) & (
         2 * (100 + similarity) * (1 + F.least(F.col("d_x") - F.col("p_x"), F.col("d_y") - F.col("p_y"))) >= F.col("u_x") + F.col("u_y"))
-    return x.filter("NOT linked_x").join(y, "g").filter(near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+    return x.join(y, "g").filter(near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
 
 
 def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Groups (g, rep, n, ca, linked, p, d, u, size, free) of members of one pivot that are not connected yet and may be linked.
+    """Groups (g, rep, n, ca, linked, p, d, u, lead, free, leads) of members of one pivot that are not connected yet and may be linked.
 
     Let P be the pivot, x a set not linked to it, and D(x) the shingles that only one of x and P has. With sizes in place of
     sets and s for the similarity in hundredths, |x & y| = |x & P| + |y & P| - |P| + |D(x) & D(y)|, and a link of x and y takes
     (100 + s) |x & y| >= s (|x| + |y|). So D(x) and D(y) must share (u(x) + u(y)) / 2(100 + s) shingles or more, where u(x) is
     2s |x| - 2(100 + s) |x & P| + (100 + s) |P|. As u lies above (100 - s) |P| for x, and nowhere below -(100 - s) |P|, this is
-    more than none for any y, and at least t(x) = s/(100 + s) (|x| + |P|) - |x & P|; if y is linked to P it is at least
-    t(y) = (s |y| + 100 |P|)/(100 + s) - |y & P|, as it is for two that are not. With these shingles ordered from rare to
-    common, the first that x and y share is then among the first |D| - t + 1 of either. A group for each such shingle holds
-    every pair in question, and what is common in a family makes no groups.
+    more than none for any y, and at least t(x) = s/(100 + s) (|x| + |P|) - |x & P|; if y is linked to P it is more than
+    t(y) = (s |y| + 100 |P|)/(100 + s) - |y & P|. Nor can it be less than |D(x)| - (100 - s)/s |x|, since D(x) and D(y) differ
+    where x and y do. With these shingles in one order for all members, the first that x and y share is then among the first
+    |D| - t + 1 of either. For the one with the smaller u (one linked to P has a smaller u than one that is not), 2 u(x) in
+    place of u(x) + u(y) tells more: about |x| (100 - s)/(100 + s) places are left. It leads in its groups at these places.
+    A group for each such shingle holds every pair in question, as one that leads and one not linked to P. The order begins
+    with what only one component has, and goes on from rare to common: a shingle of P that edited copies lack comes behind
+    their own, where none leads, so that a large family of copies makes no large groups.
     """
     of = found.select(F.col("node"), F.col("component").alias("c"))
     own = tested.join(of, F.col("a") == F.col("node"), "left").drop("node").withColumn("ca", F.coalesce("c", "a")).drop("c")
@@ -166,20 +172,25 @@ def _narrower(tested: DataFrame, found: DataFrame, sets: DataFrame, similarity:
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     )
     both, of_a, of_b = 100 + similarity, F.col("n_a").cast("bigint"), F.col("n_b").cast("bigint")
-    least = similarity * of_a + F.when(F.col("linked"), 100).otherwise(similarity) * of_b - both * F.col("common")
-    d = of_a + of_b - 2 * F.col("common")
+    linked, d = F.col("linked"), of_a + of_b - 2 * F.col("common")
     u = 2 * similarity * of_a - 2 * both * F.col("common") + both * of_b
+    least = (similarity * of_a + F.when(linked, 100).otherwise(similarity) * of_b - both * F.col("common")) / F.lit(both)
+    share = F.greatest(F.when(linked, F.floor(least) + 1).otherwise(F.ceil(least)), d - F.floor((100 - similarity) * of_a / F.lit(similarity)), F.lit(1))
+    few = d - share + 1
+    leading = F.when(linked, few).otherwise(F.least(few, d - F.ceil(u / F.lit(both)) + 1))
     only = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
     lacking = settle(held.select(
-        "a", "b", of_a.alias("n"), "ca", "linked", d.alias("d"), u.alias("u"),
-        (d - F.greatest(F.ceil(least / F.lit(both)), F.lit(1)) + 1).alias("few"), F.explode(only).alias("s")))
-    common = lacking.groupBy("b", "s").agg(F.count("*").alias("often"), F.min("ca").alias("low"), F.max("ca").alias("high"))
-    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "s"))
-    early = lacking.join(common, ["b", "s"]).withColumn("p", place).filter("p <= few AND low != high")
-    early = settle(early.select(F.xxhash64("b", "s").alias("g"), F.col("a").alias("rep"), "n", "ca", "linked", "p", "d", "u"))
+        "a", "b", of_a.alias("n"), "ca", "linked", d.alias("d"), u.alias("u"), few.alias("few"), leading.alias("leading"), F.explode(only).alias("s")))
+    common = lacking.groupBy("b", "s").agg(F.count("*").alias("often"), F.min("ca").alias("low"), F.max("ca").alias("high")).filter(
+        "low != high").select("b", "s", "often")
+    of_member = Window.partitionBy("a", "b")
+    place = F.col("d") - F.count("*").over(of_member) + F.row_number().over(of_member.orderBy("often", "s"))
+    early = lacking.join(common, ["b", "s"]).withColumn("p", place).filter("p <= few")
+    early = early.select(F.xxhash64("b", "s").alias("g"), F.col("a").alias("rep"), "n", "ca", "linked", "p", "d", "u", F.expr("p <= leading").alias("lead"))
+    early = settle(early)
     parts = early.groupBy("g").agg(
-        F.count("*").alias("size"), F.count(F.when(~F.col("linked"), 1)).alias("free"), F.min("ca").alias("low"), F.max("ca").alias("high"))
-    return settle(early.join(parts.filter("low != high AND free > 0"), "g"))
+        F.count(F.when(~F.col("linked"), 1)).alias("free"), F.count(F.when(F.col("lead"), 1)).alias("leads"), F.min("ca").alias("low"), F.max("ca").alias("high"))
+    return settle(early.join(parts.filter("low != high AND free > 0 AND leads > 0").drop("low", "high"), "g"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY,
@@ -194,7 +205,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
 
     Equal sets form one class and are never paired. Each member of a bucket is compared with the bucket's smallest set, its
     pivot, only. Where members of a pivot are then still unconnected, `_narrower` forms smaller groups of those that can be
-    linked without the pivot, and so on until none are left; groups with at most `DIRECT` unconnected members are compared pair by pair.
+    linked without the pivot, and so on until none are left; groups with at most `DIRECT` members that are not linked to the
+    pivot, or that lead, are compared pair by pair.
     So a group of copies costs rows in proportion to its size, and no two documents that share a band are left unconnected
     though similar enough.
     """
@@ -216,7 +228,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
         links = linked if links is None else links.unionByName(linked)
         found = components(links)
         groups = _narrower(tested.filter("pivot").drop("pivot"), found, sets, similarity)
-        few = F.col("free") <= DIRECT
+        few = F.least("free", "leads") <= DIRECT
         large, small = groups.filter(~few), groups.filter(few)
         pairs = _pairs(large).withColumn("pivot", F.lit(True)).unionByName(_direct(small, similarity).withColumn("pivot", F.lit(False)))
     if found is None:
